@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their DuckDB texts."""
 
-from tessera.llm import chat, exact_dedup, mixing, sharding, token_files
+from tessera.llm import chat, exact_dedup, mixing, near_dup, pieces, sharding, token_files
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op5_chat_format": chat.query,
+    "op6_sentencepiece": pieces.query,
     "op7_token_files": token_files.query,
+    "op8_near_dedup": near_dup.query,
     "op9_mixing": mixing.query,
     "op10_exact_dedup": exact_dedup.query,
 }
