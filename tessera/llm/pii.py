@@ -42,7 +42,7 @@ BASE = {
 }
 # Proposals beyond the base.
 MORE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}| at |@) ?[a-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}| dot |\.) ?[a-z0-9-]{1,63}){1,4}",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}| at |@) ?[a-z0-9-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)|\{dot\}) ?| dot |\.)[a-z0-9-]{1,63}){1,4}",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)) ?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ ._/-]{1,3}[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+])(?:00 ?[0-9]{1,3}[ .-])?\(?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{3,4}[ ./-]?[0-9]{3,4}(?![0-9])",
@@ -140,7 +140,7 @@ def features(kind: str, text: Column, c: Column) -> Column:
         "right_sign": flag(right.rlike("^(?:[/:=%*+-]|[.,][0-9])")),
         "cue": flag(left.rlike(CUES[kind])),
         "against": flag(left.rlike(AGAINST)),
-        "domain": flag(v.rlike("(?i)(?:com|org|net|edu|gov|io|de|fr|es|uk|info)$")),
+        "domain": flag(v.rlike("(?i)(?:\\.|dot[\\])}]? ?)(?:com|org|net|edu|gov|io|de|fr|es|uk|info)$")),
         "spelt": flag(v.rlike("(?i)[\\[({ ](?:at|dot)[\\]) }]|\\[\\.\\]|\\(\\.\\)")),
         "zeros": flag(v.rlike("(?:^|[^0-9])0[0-9]")),
     }
@@ -193,7 +193,7 @@ def _examples(n: int, seed: int = 11) -> list[tuple[str, int, str, int]]:
                 "phone": lambda: r.choice(
                     [f"{r.randint(1900, 2030)}-{digits(4)}", f"{r.randint(10, 99)}.{digits(3)}.{digits(3)}", f"{digits(4)}/{digits(4)}",
                      f"{digits(3)} {digits(3)} {digits(3)}", f"{digits(4)} {digits(4)}", f"{digits(3)}-{digits(4)}", phone()]),
-                "email": lambda: f"{word()} at {word()}. {word()}",
+                "email": lambda: f"{word()} at {word()}.{r.choice([word(), word() + 'es', word() + '.' + word()])}",
                 "ip": lambda: r.choice([ip(False), " . ".join(str(r.randint(0, 30)) for _ in range(4))]),
             }[kind]()
             cue = r.choice(against) if r.random() < 0.6 and kind != "email" or kind == "phone" and "(" in span else ""
