@@ -9,6 +9,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,8 +104,6 @@ def fold_accents(c: Column) -> Column:
 
 def fold_accents_exact(c: Column) -> Column:
     """NFKD without combining marks, by an Arrow UDF: for texts with multi-character decompositions."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
         def one(t):

@@ -184,9 +184,9 @@ tf as materialized (select entity_id, pool, clean, token, count(*) as tf from (s
 sizes as (select pool, count(*) as n from b group by all),
 idf as (select pool, token, ln((1 + n) / (1 + df)) + 1 as idf from (select pool, token, count(*) as df from tf group by all) join sizes using (pool)),
 unit as materialized (select entity_id, pool, clean, token, tf * idf / sqrt(sum((tf * idf) ** 2) over (partition by entity_id, pool)) as w from tf join idf using (pool, token)),
-knn as (select x.entity_id as s1, x.pool, y.entity_id as cand, round(sum(x.w * y.w), 9) as sim
-  from unit x join unit y using (pool, token) where x.clean and not y.clean group by all
-  qualify row_number() over (partition by x.entity_id, x.pool order by round(sum(x.w * y.w), 9) desc, y.entity_id) <= 20)"""
+dots as (select x.entity_id as s1, x.pool, y.entity_id as cand, round(sum(x.w * y.w), 9) as sim
+  from unit x join unit y using (pool, token) where x.clean and not y.clean group by all),
+knn as (select * from dots qualify row_number() over (partition by s1, pool order by sim desc, cand) <= 20)"""
 _SORTED_SQL = f"""placed as (
   select entity_id, pool, member, coalesce(sum(member) over (partition by pool order by name, member, entity_id rows between unbounded preceding and 1 preceding), 0) as pos
   from (select entity_id, name, source as pool, 1 as member from norm where source <> 'S1'
@@ -274,11 +274,9 @@ def feat_jaccard(spark, sf):
 
 
 @register(f"""with {Q.BLOCK_SQL}, tk as materialized (select entity_id, token, count(*) as k from (select entity_id, unnest({Q.words("name")}) as token from norm) group by all),
-j as (select source1_entity_id as s, candidate_entity_id as c, token, coalesce(l.k, 0) as x, coalesce(r.k, 0) as y
-  from (select source1_entity_id, candidate_entity_id, a.token from cand join tk a on a.entity_id = source1_entity_id
-    union select source1_entity_id, candidate_entity_id, a.token from cand join tk a on a.entity_id = candidate_entity_id)
-  left join tk l on l.entity_id = source1_entity_id and l.token = token left join tk r on r.entity_id = candidate_entity_id and r.token = token
-  where l.token is not distinct from coalesce(l.token, null)),
+u as (select source1_entity_id as s, candidate_entity_id as c, a.token as tok from cand join tk a on a.entity_id = source1_entity_id
+  union select source1_entity_id, candidate_entity_id, a.token from cand join tk a on a.entity_id = candidate_entity_id),
+j as (select s, c, coalesce(l.k, 0) as x, coalesce(r.k, 0) as y from u left join tk l on l.entity_id = s and l.token = tok left join tk r on r.entity_id = c and r.token = tok),
 w as (select s, c, sum(x * y) as dot, sqrt(sum((x * case when x * y > 0 then 1.0 else ln(1.5) + 1 end) ** 2)) as nx,
   sqrt(sum((y * case when x * y > 0 then 1.0 else ln(1.5) + 1 end) ** 2)) as ny from j group by all)
 select source1_entity_id, candidate_entity_id, round(coalesce(case when nx * ny > 0 then dot / (nx * ny) end, 0.0), 6) as name_tfidf_cosine
