@@ -98,13 +98,16 @@ def _common(both: DataFrame) -> dict:
     }
 
 
-def _edit(prefix_name: str = "name", prefix_address: str = "addr"):
+def _edit(cosines: bool = False):
     n, a = (F.col("l_name"), F.col("r_name")), (F.col("l_address"), F.col("r_address"))
-    return M.edit_similarity(
-        [("name_levenshtein_ratio", "ratio", *n), ("name_token_sort_ratio", "token_sort", *n), ("name_token_set_ratio", "token_set", *n),
-         ("name_partial_ratio", "partial", *n), ("addr_levenshtein_ratio", "ratio", *a), ("addr_token_sort_ratio", "token_sort", *a),
-         ("addr_token_set_ratio", "token_set", *a)]
-    )
+    measures = [
+        ("name_levenshtein_ratio", "ratio", *n), ("name_token_sort_ratio", "token_sort", *n), ("name_token_set_ratio", "token_set", *n),
+        ("name_partial_ratio", "partial", *n), ("addr_levenshtein_ratio", "ratio", *a), ("addr_token_sort_ratio", "token_sort", *a),
+        ("addr_token_set_ratio", "token_set", *a),
+    ]
+    if cosines:
+        measures += [("name_tfidf_cosine", "cosine", *n), ("addr_tfidf_cosine", "cosine", *a)]
+    return M.edit_similarity(measures)
 
 
 def pair_records(ents: DataFrame) -> DataFrame:
@@ -132,11 +135,7 @@ def pair_features(candidates: DataFrame, ents: DataFrame) -> DataFrame:
 def older_features(candidates: DataFrame, ents: DataFrame) -> DataFrame:
     """The 20 features of the older generation."""
     both = looked_up(candidates.select(*IDS), older_records(ents))
-    cosines = {
-        "name_tfidf_cosine": M.pair_cosine(F.col("l_name"), F.col("r_name")),
-        "addr_tfidf_cosine": M.pair_cosine(F.col("l_address"), F.col("r_address")),
-    }
-    return both.withColumns(_common(both) | cosines).withColumn("e", _edit()).select("*", "e.*").select(*IDS, *OLDER)
+    return both.withColumns(_common(both)).withColumn("e", _edit(cosines=True)).select("*", "e.*").select(*IDS, *OLDER)
 
 
 def labelled(pairs: DataFrame, truth: DataFrame) -> DataFrame:

@@ -284,7 +284,8 @@ from cand left join w on s = source1_entity_id and c = candidate_entity_id""")
 def feat_tfidf_pair(spark, sf):
     rows = block.normalized(S.entities(spark, sf)).select("entity_id", "name")
     both = features.looked_up(_candidates(spark, sf).select(*features.IDS), rows)
-    return both.select(*features.IDS, F.round(M.pair_cosine(F.col("l_name"), F.col("r_name")), 6).alias("name_tfidf_cosine"))
+    e = M.edit_similarity([("cosine", "cosine", F.col("l_name"), F.col("r_name"))])
+    return both.withColumn("e", e).select(*features.IDS, F.round("e.cosine", 6).alias("name_tfidf_cosine"))
 
 
 def _edit(measure: str):
