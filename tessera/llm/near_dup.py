@@ -7,13 +7,15 @@
 3. Bands of 4 registers are hashed; classes that share a band are candidates.  At similarity 0.8 a pair
    shares none of 32 bands with a chance of 5e-8.
 4. Candidates first go through the joint likelihood of both sketches, given both set sizes; pairs whose
-   estimate is more than six standard deviations under the limit go no further.
+   estimate is more than 4.5 standard deviations under the limit go no further.
 5. The others are verified on full sets, and verified links form components.
 
-Buckets never emit all their pairs.  First each member meets the smallest id of its bucket.  Pairs of a bucket
-that are by then in different components come after: in buckets of up to 64 members as pairs, in larger
-ones in blocks of 256 members whose sketches are compared inside a task, the largest component's
-members only against those of others.  So each candidate pair is linked, joined by other links, or refuted.
+Buckets never emit all their pairs.  First each member meets the two heads of its bucket: the members that share
+most with others, which in a group of near copies are those with fewest changes.  Pairs of a bucket
+that are by then in different components come after: in buckets of up to 64 members as pairs; in larger
+ones first all members go that have too many shingles of their own (in no other member of such buckets)
+to be linked with anything, and the others are compared by sketch in blocks of 256, the largest
+component's members only against those of others.  So each candidate pair is linked, joined by other links, or refuted.
 
 Defined results
 ---------------
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ASCII_SPACE, Stage, table
@@ -40,7 +42,9 @@ REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 #: Members of a bucket whose pairs are emitted; members of a block in larger ones.
 SMALL, BLOCK = 64, 256
-DEVIATIONS = 6.0
+DEVIATIONS = 4.5
+#: Members of a bucket that all others meet.
+HEADS = 2
 
 _rng = np.random.default_rng(0x5E75)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -226,8 +230,20 @@ def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
     )
 
 
+def _linkable(members: DataFrame, texts: DataFrame, words: int, limit: float) -> DataFrame:
+    """id, own of the members that can be linked: own shingles are in no other member, and a link leaves
+    at most a share of 1 - limit of a set unshared."""
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    sets = _sets(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), words)
+    each = sets.select("id", F.explode("shingles").alias("h"))
+    lone = each.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    sizes = sets.select("id", F.size("shingles").alias("n"))
+    own = sizes.join(lone, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    return own.where(F.col("n") - F.col("own") >= limit * F.col("n") - 1e-6).select("id", "own")
+
+
 def _block_pairs(members: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
-    """Likely pairs inside large buckets: members (band, id, root) -> (a, b)."""
+    """Likely pairs inside large buckets: members (band, id, root, own) -> (a, b); own counts shingles no other member has."""
     least = least_estimate(limit)
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("band").agg(F.max(F.struct("n", F.col("root").alias("main"))).alias("top"), F.sum("n").alias("all"))
@@ -237,21 +253,22 @@ def _block_pairs(members: DataFrame, reps: DataFrame, limit: float) -> DataFrame
         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("lefts"),
         F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
     )
-    rows = members.join(main, "band").join(reps, "id")
+    rows = members.join(main, "band").where("lefts > 0").join(reps, "id")
     rows = rows.withColumn("odd", F.col("root") != F.col("main"))
     spread = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    pick = lambda side, l, r: rows.select("band", l, r, F.lit(side).alias("side"), "id", "root", "n", "sketch")
+    pick = lambda side, l, r: rows.select("band", l, r, F.lit(side).alias("side"), "id", "root", "n", "own", "sketch")
     left = pick(0, spread(F.col("lefts")).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r")).where("odd")
     right = pick(1, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), spread(F.col("rights")).alias("r"))
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
-        ids, root, n = (table.column(c).to_numpy() for c in ("id", "root", "n"))
+        ids, root, n, own = (table.column(c).to_numpy() for c in ("id", "root", "n", "own"))
         regs = _registers(table.column("sketch").combine_chunks())
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         out = []
         for i in x:
-            other = y[(root[y] != root[i]) & (np.minimum(n[y], n[i]) >= limit * np.maximum(n[y], n[i]) - 1e-6)]
+            most = np.minimum(n[y] - own[y], n[i] - own[i])  # shingles that both can have
+            other = y[(root[y] != root[i]) & (most >= limit * (n[y] + n[i] - most) - 1e-6)]
             if len(other):
                 more, less = (regs[i] > regs[other]).sum(axis=1), (regs[i] < regs[other]).sum(axis=1)
                 est = likely_similarity(more, less, np.full(len(other), float(n[i])), n[other].astype(float))
@@ -280,10 +297,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
         .select("id", F.xxhash64("band_no", part).alias("band"))
         .distinct()
     )
-    buckets = bands.groupBy("band").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
+    buckets = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = stage.keep(bands.join(buckets, "band"), "members")
     keyed = reps.select("id", "n", "sketch")
-    stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    shared = members.groupBy("id").agg(F.sum(F.log2("size")).alias("shared"))
+    first = Window.partitionBy("band").orderBy(F.desc("shared"), "id")
+    heads = members.join(shared, "id").withColumn("place", F.row_number().over(first)).where(F.col("place") <= HEADS)
+    met = members.join(heads.select("band", F.col("id").alias("head")), "band").where("id <> head")
+    stars = stage.keep(met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct(), "stars")
     links = _verified(_likely(stars, keyed, limit), texts, words, limit, stage, "first")
     roots = stage.keep(components(links, stage, "first"), "roots-first")
 
@@ -291,19 +312,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     open_ = members.where("size > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     several = open_.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
     open_ = stage.keep(open_.join(several, "band", "left_semi"), "open")
-    few = open_.where(f"size <= {SMALL}").select("band", "id", "root", "head")
+    few = open_.where(f"size <= {SMALL}").select("band", "id", "root")
     other = few.select("band", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = (
-        few.join(other, "band")
-        .where("id < b and root <> root_b and id <> head")
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
-    )
+    pairs = few.join(other, "band").where("id < b and root <> root_b").select(F.col("id").alias("a"), "b").distinct()
     many = open_.where(f"size > {SMALL}").select("band", "id", "root")
-    more = _likely(pairs, keyed, limit)
     if not many.isEmpty():
-        blocks = stage.keep(_block_pairs(many, keyed, limit).distinct(), "blocks")
-        more = more.unionByName(_likely(blocks, keyed, limit)).distinct()
+        able = stage.keep(_linkable(many, texts, words, limit).join(many, "id"), "able")
+        pairs = pairs.unionByName(stage.keep(_block_pairs(able, keyed, limit).distinct(), "blocks")).distinct()
+    more = _likely(pairs.join(stars, ["a", "b"], "left_anti"), keyed, limit)
     found = _verified(more, texts, words, limit, stage, "second")
     if not found.isEmpty():
         roots = stage.keep(components(links.unionByName(found), stage, "second"), "roots-second")
