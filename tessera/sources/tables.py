@@ -52,7 +52,7 @@ def read_lines(spark: SparkSession, path: str, least: int = 4) -> DataFrame:
 
 def parse_ids(column: str):
     """A comma list as an array, without empty cells; '' gives an empty array."""
-    return F.filter(F.transform(F.split(F.trim(F.coalesce(F.col(column), F.lit(""))), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.trim(F.coalesce(F.col(column), F.lit(""))), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def truth_pairs(truth: DataFrame) -> DataFrame:
