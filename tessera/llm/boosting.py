@@ -142,3 +142,17 @@ def fit(
     if len(calibrate_x):
         out.margins, out.scores = isotonic(out.margin(calibrate_x), calibrate_y)
     return out
+
+
+def fit_crossed(x: np.ndarray, y: np.ndarray, part: np.ndarray, **how) -> Forest:
+    """Trees over all rows, calibrated on margins that rows of each part get from trees over the other parts."""
+    none = np.empty((0, x.shape[1])), np.empty(0)
+    out = fit(x, y, *none, **how)
+    margin, seen = np.zeros(len(y)), np.zeros(len(y), bool)
+    for p in np.unique(part):
+        own = part == p
+        if 0 < y[~own].sum() < (~own).sum():
+            margin[own], seen[own] = fit(x[~own], y[~own], *none, **how).margin(x[own]), True
+    if seen.any():
+        out.margins, out.scores = isotonic(margin[seen], y[seen])
+    return out

@@ -6,7 +6,8 @@ rates of capitals, punctuation and obfuscated spellings.  Language, source, ids
 are never inputs.
 
 Fitting takes a sample of at most ``TRAIN_ROWS`` labelled rows (by hash of the id) of those that the
-caller allows.  One part of it teaches the lexicon, another the trees, a third calibrates;
+caller allows.  One part of it teaches the lexicon and the rest the trees, which are calibrated on margins of rows
+that trees over other rows gave;
 what the lexicon part counts is summed on the executors and cut to ``LEXICON`` entries.
 Scoring sees every row and each whole text.
 
@@ -202,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[dic
     x = np.array([r["x"] for r in got]).reshape(-1, len(FEATURES))
     y = np.array([r["toxic"] for r in got], float)
     part = np.array([r["part"] for r in got], int)
-    return weights, boosting.fit(x[part < 7], y[part < 7], x[part >= 7], y[part >= 7])
+    return weights, boosting.fit_crossed(x, y, part % 3)
 
 
 def score(docs: DataFrame, weights: dict[str, float], forest: boosting.Forest) -> DataFrame:
