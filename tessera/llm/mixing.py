@@ -83,14 +83,15 @@ def mix(
     weights: dict[str, float] | None = None,
     block: int = BLOCK,
     period: int = PERIOD,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """row (a struct of the columns of docs), mix_source, mix_block (from 1), mix_slot, mix_release, mix_deadline, mix_offset.
+    """row (a struct of the columns of docs, or of those in carry), mix_source, mix_block (from 1), mix_slot, mix_release, mix_deadline, mix_offset.
 
     Sorting by (mix_slot, mix_offset) gives the mixed order.
     """
     spark = docs.sparkSession
     sized = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        F.struct(*(docs[c] for c in carry or docs.columns)).alias("row"),
         docs["doc_id"].alias("_id"),
         F.coalesce(docs["source"].cast("string"), F.lit("")).alias("mix_source"),
         key_bits(docs["doc_id"]).alias("_h"),
@@ -148,5 +149,4 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 
 def query(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("row.doc_id", *ADDED)
+    return mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("row.doc_id", *ADDED)
