@@ -12,10 +12,10 @@
 
 Buckets never emit all their pairs.  First each member meets the two heads of its bucket: the members that share
 most with others, which in a group of near copies are those with fewest changes.  Pairs of a bucket
-that are by then in different components come after: in buckets of up to 64 members as pairs; in larger
-ones first all members go that have too many shingles of their own (in no other member of such buckets)
-to be linked with anything, and the others are compared by sketch in blocks of 256, the largest
-component's members only against those of others.  So each candidate pair is linked, joined by other links, or refuted.
+that are by then in different components come after.  Members with too many shingles of their own (in no
+other member of such buckets) to be linked with anything go first, and pairs that have too many go, too.  The rest
+meets in buckets of up to 64 members as pairs, in larger ones in blocks of 512 that compare sketches and
+verify inside a task, the largest component's members only against those of others.  So each candidate pair is linked, joined by other links, or refuted.
 
 Defined results
 ---------------
@@ -41,7 +41,7 @@ from tessera.llm.common import ASCII_SPACE, Stage, table
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 #: Members of a bucket whose pairs are emitted; members of a block in larger ones.
-SMALL, BLOCK = 64, 256
+SMALL, BLOCK = 64, 512
 DEVIATIONS = 4.5
 #: Members of a bucket that all others meet.
 HEADS = 2
@@ -230,54 +230,73 @@ def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
     )
 
 
-def _linkable(members: DataFrame, texts: DataFrame, words: int, limit: float) -> DataFrame:
-    """id, own of the members that can be linked: own shingles are in no other member, and a link leaves
+def _linkable(sets: DataFrame, limit: float) -> DataFrame:
+    """id, n, own of the members that can be linked: own shingles are in no other member, and a link leaves
     at most a share of 1 - limit of a set unshared."""
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = _sets(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), words)
     each = sets.select("id", F.explode("shingles").alias("h"))
     lone = each.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
     sizes = sets.select("id", F.size("shingles").alias("n"))
     own = sizes.join(lone, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    return own.where(F.col("n") - F.col("own") >= limit * F.col("n") - 1e-6).select("id", "own")
+    return own.where(F.col("n") - F.col("own") >= limit * F.col("n") - 1e-6)
+
 
+def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
+    """Verified links inside large buckets: members (band, id, root, own) -> (a, b).
 
-def _block_pairs(members: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
-    """Likely pairs inside large buckets: members (band, id, root, own) -> (a, b); own counts shingles no other member has."""
+    Buckets with one main component are one group, whatever their band, so a pair is compared once.  A block holds
+    the sets of its members: pairs that the sketches leave open are verified there, and of the links found only those
+    go on that join components not yet joined.
+    """
     least = least_estimate(limit)
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("n", F.col("root").alias("main"))).alias("top"), F.sum("n").alias("all"))
-    main = main.select(
-        "band",
-        "top.main",
-        F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", F.col("root").alias("main"))).alias("top")).select("band", "top.main")
+    rows = members.join(main, "band").select("main", "id", "root", "own").distinct()
+    groups = rows.groupBy("main").agg(
+        F.ceil(F.count_if(F.col("root") != F.col("main")) / BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("rights"),
     )
-    rows = members.join(main, "band").where("lefts > 0").join(reps, "id")
-    rows = rows.withColumn("odd", F.col("root") != F.col("main"))
+    rows = rows.join(groups.where("lefts > 0"), "main").join(reps, "id").join(sets, "id")
     spread = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    pick = lambda side, l, r: rows.select("band", l, r, F.lit(side).alias("side"), "id", "root", "n", "own", "sketch")
-    left = pick(0, spread(F.col("lefts")).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r")).where("odd")
-    right = pick(1, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), spread(F.col("rights")).alias("r"))
+    pick = lambda side, l, r: (F.lit(side).alias("side"), "main", l, r, "id", "root", "n", "own", "sketch", "shingles")
+    left = rows.where("root <> main").select(*pick(0, spread(F.col("lefts")).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r")))
+    right = rows.select(*pick(1, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), spread(F.col("rights")).alias("r")))
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         ids, root, n, own = (table.column(c).to_numpy() for c in ("id", "root", "n", "own"))
         regs = _registers(table.column("sketch").combine_chunks())
+        lists = table.column("shingles").combine_chunks()
+        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        joined: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         out = []
         for i in x:
             most = np.minimum(n[y] - own[y], n[i] - own[i])  # shingles that both can have
             other = y[(root[y] != root[i]) & (most >= limit * (n[y] + n[i] - most) - 1e-6)]
-            if len(other):
-                more, less = (regs[i] > regs[other]).sum(axis=1), (regs[i] < regs[other]).sum(axis=1)
-                est = likely_similarity(more, less, np.full(len(other), float(n[i])), n[other].astype(float))
-                out += [(min(ids[i], ids[k]), max(ids[i], ids[k])) for k in other[est >= least]]
+            if not len(other):
+                continue
+            more, less = (regs[i] > regs[other]).sum(axis=1), (regs[i] < regs[other]).sum(axis=1)
+            est = likely_similarity(more, less, np.full(len(other), float(n[i])), n[other].astype(float))
+            mine = flat[offsets[i] : offsets[i + 1]]
+            for k in other[est >= least]:
+                if top(root[i]) == top(root[k]):
+                    continue
+                theirs = flat[offsets[k] : offsets[k + 1]]
+                at = np.searchsorted(mine, theirs)
+                shared = int((mine[np.minimum(at, len(mine) - 1)] == theirs).sum())
+                if 100 * shared >= round(limit * 100) * (len(mine) + len(theirs) - shared):
+                    out.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+                    joined[top(root[i])] = top(root[k])
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    both = left.unionByName(right)
-    return both.groupBy("band", "l", "r").applyInArrow(run, "a long, b long")
+    return left.unionByName(right).groupBy("main", "l", "r").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> DataFrame:
@@ -312,15 +331,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     open_ = members.where("size > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     several = open_.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
     open_ = stage.keep(open_.join(several, "band", "left_semi"), "open")
-    few = open_.where(f"size <= {SMALL}").select("band", "id", "root")
-    other = few.select("band", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = few.join(other, "band").where("id < b and root <> root_b").select(F.col("id").alias("a"), "b").distinct()
-    many = open_.where(f"size > {SMALL}").select("band", "id", "root")
-    if not many.isEmpty():
-        able = stage.keep(_linkable(many, texts, words, limit).join(many, "id"), "able")
-        pairs = pairs.unionByName(stage.keep(_block_pairs(able, keyed, limit).distinct(), "blocks")).distinct()
+    ids = open_.select(F.col("id").alias("doc_id")).distinct()
+    sets = _sets(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), words)
+    sets = stage.keep(sets.select("id", F.array_sort("shingles").alias("shingles")), "open-sets")
+    able = stage.keep(_linkable(sets, limit).join(open_, "id"), "able")
+    few = able.where(f"size <= {SMALL}").select("band", "id", "root", "n", "own")
+    other = few.select("band", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "own")))
+    most = F.least(F.col("n") - F.col("own"), F.col("n_b") - F.col("own_b"))  # shingles that both can have
+    meet = (few["band"] == other["band"]) & (F.col("id") < F.col("id_b")) & (F.col("root") != F.col("root_b"))
+    meet = meet & (most >= limit * (F.col("n") + F.col("n_b") - most) - 1e-6)
+    pairs = few.join(other, meet).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
     more = _likely(pairs.join(stars, ["a", "b"], "left_anti"), keyed, limit)
     found = _verified(more, texts, words, limit, stage, "second")
+    many = able.where(f"size > {SMALL}").select("band", "id", "root", "own")
+    if not many.isEmpty():
+        found = found.unionByName(stage.keep(_block_links(many, keyed, sets, limit), "block-links"))
     if not found.isEmpty():
         roots = stage.keep(components(links.unionByName(found), stage, "second"), "roots-second")
 
