@@ -222,10 +222,11 @@ def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
         if k:
             stage.drop(f"star-{name}{k - 1}")
         k += 1
-        # Done when every edge goes from a root: no smaller end is the larger end of another.
-        if edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+        # Done when all is stars: each larger end has one edge, and is the smaller end of none.
+        ends = edges.select(F.inline(F.array(F.struct(F.col("b").alias("id"), F.lit(1).alias("over")), F.struct(F.col("a").alias("id"), F.lit(0).alias("over")))))
+        if ends.groupBy("id").agg(F.sum("over").alias("over"), F.count("*").alias("n")).where("over > 0 and n > 1").isEmpty():
             break
-    return edges.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("id"), "root").unionByName(
+    return edges.select(F.col("b").alias("id"), F.col("a").alias("root")).unionByName(
         edges.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct()
     )
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import random
 import re
 import zlib
@@ -271,6 +272,31 @@ def test_near_duplicates(spark, monkeypatch, small):
     assert got == brute_components(rows, 4, 80)
 
 
+def test_components_of_chains_and_random_graphs(spark):
+    """All orderings of short chains and many random graphs, side by side in one table, against union-find."""
+    rng = random.Random(9)
+    graphs = [list(zip(p, p[1:])) for n in (2, 3, 4, 5) for p in itertools.permutations(range(n))]
+    graphs += [[(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(1, n))] for n in (rng.randint(2, 40) for _ in range(200))]
+    links = [(100 * g + a, 100 * g + b) for g, edges in enumerate(graphs) for a, b in edges]
+    root = {i: i for a, b in links if a != b for i in (a, b)}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        if a != b:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    # Graphs end in different rounds, which would hide an early end: chains of 5 also go alone.
+    found = near_dup.components(spark.createDataFrame(links, "a long, b long"), near_dup.Stage(spark, "all"), "t").collect()
+    assert sorted(map(tuple, found)) == [(i, top(i)) for i in sorted(root)]
+    for p in ((0, 4, 2, 3, 1), (0, 2, 3, 4, 1), (1, 3, 2, 4, 0)):
+        alone = spark.createDataFrame(list(zip(p, p[1:])), "a long, b long")
+        assert sorted(map(tuple, near_dup.components(alone, near_dup.Stage(spark, "one"), "t").collect())) == [(i, 0) for i in range(5)]
+
+
 def test_likelihood_estimates():
     rng = np.random.default_rng(6)
     for shared, own in ((800, 100), (500, 500), (100, 900)):
