@@ -21,7 +21,8 @@ Defined results
 ---------------
 * a null or empty text, or one without words, has an empty set and is linked with nothing;
 * a text of fewer words than a shingle has one shingle: its whole word sequence;
-* rows that repeat an id with the same text are one document; a null id stays a component of its own;
+* rows that repeat an id are one document, also with different texts: what is linked with one of its texts is linked
+  with all of them, and all its rows get one component; a null id stays a component of its own;
 * an empty table gives an empty result; other columns are ignored.
 """
 
@@ -138,8 +139,8 @@ def _registers(column: pa.Array) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the whole set), sketch."""
-    names = ["doc_id", "n_shingles", "set_key", "sketch"]
+    """doc_id, text_key, n_shingles, set_key (digest of the whole set), sketch of rows (doc_id, text, text_key)."""
+    names = ["doc_id", "text_key", "n_shingles", "set_key", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,23 +150,27 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 sizes.append(len(h))
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 made.append(sketch(h).tobytes() if len(h) else None)
-            cols = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.binary())]
+            cols = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, sketch binary")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
+def _sets(ids: DataFrame, reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """id, doc_id, shingles of the classes in ids, each from the one text that stands for it."""
+    wanted = reps.join(ids, "id", "left_semi").select("id", "doc_id", "text_key")
+    docs = texts.join(wanted, ["doc_id", "text_key"]).select("id", "doc_id", "text_key", "text").dropDuplicates(["doc_id", "text_key"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                sets = [shingle_set(t, words).view(np.int64) for t in part.column(1).to_pylist()]
+                sets = [shingle_set(t, words).view(np.int64) for t in part.column(2).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "doc_id", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("id", "doc_id", "text").mapInArrow(run, "id long, doc_id long, shingles array<long>")
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
@@ -187,16 +192,15 @@ def _likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, n_a long, n_b long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, limit: float, stage: Stage, name: str) -> DataFrame:
-    """Those of the likely pairs that the full sets confirm."""
+def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, limit: float, stage: Stage, name: str) -> DataFrame:
+    """Links (a, b) of documents: those of the likely pairs of classes that the full sets confirm."""
     pairs = stage.keep(pairs, f"likely-{name}")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _sets(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), words)
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"h_{x}"))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), reps, texts, words)
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("shingles").alias(f"h_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("h_a", "h_b")).cast("long")
     percent = round(limit * 100)
-    links = both.select("a", "b", "n_a", "n_b", shared.alias("i")).where(
+    links = both.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"), "n_a", "n_b", shared.alias("i")).where(
         100 * F.col("i") >= percent * (F.col("n_a") + F.col("n_b") - F.col("i"))
     )
     return stage.keep(links.select("a", "b"), f"links-{name}")
@@ -242,7 +246,7 @@ def _linkable(sets: DataFrame, limit: float) -> DataFrame:
 
 
 def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
-    """Verified links inside large buckets: members (band, id, root, own) -> (a, b).
+    """Verified links of documents inside large buckets: members (band, id, root, own) -> (a, b).
 
     Buckets with one main component are one group, whatever their band, so a pair is compared once.  A block holds
     the sets of its members: pairs that the sketches leave open are verified there, and of the links found only those
@@ -258,13 +262,13 @@ def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: fl
     )
     rows = rows.join(groups.where("lefts > 0"), "main").join(reps, "id").join(sets, "id")
     spread = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    pick = lambda side, l, r: (F.lit(side).alias("side"), "main", l, r, "id", "root", "n", "own", "sketch", "shingles")
+    pick = lambda side, l, r: (F.lit(side).alias("side"), "main", l, r, "doc_id", "root", "n", "own", "sketch", "shingles")
     left = rows.where("root <> main").select(*pick(0, spread(F.col("lefts")).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r")))
     right = rows.select(*pick(1, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), spread(F.col("rights")).alias("r")))
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
-        ids, root, n, own = (table.column(c).to_numpy() for c in ("id", "root", "n", "own"))
+        ids, root, n, own = (table.column(c).to_numpy() for c in ("doc_id", "root", "n", "own"))
         regs = _registers(table.column("sketch").combine_chunks())
         lists = table.column("shingles").combine_chunks()
         flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
@@ -306,11 +310,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
         raise ValueError("limit must be in (0, 1], words in 1..64")
     stage = Stage(docs.sparkSession, "near")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("text_key", F.xxhash64("text"))
     all_docs = stage.keep(sketches(texts, words), "sketches")
     filled = all_docs.where("n_shingles > 0 and doc_id is not null")
-    reps = stage.keep(
-        filled.groupBy("set_key", "sketch", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("id")), "classes"
+    reps = filled.groupBy("set_key", "sketch", F.col("n_shingles").alias("n")).agg(
+        F.min_by("text_key", "doc_id").alias("text_key"), F.min("doc_id").alias("doc_id")
     )
+    # Pairs are of classes, by an id of their own; links are of documents, by the smallest doc_id of a class.
+    reps = stage.keep(reps.withColumn("id", F.monotonically_increasing_id()), "classes")
     part = F.expr(f"substring(sketch, band_no * {2 * BAND} + 1, {2 * BAND})")
     bands = (
         reps.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1))).alias("band_no"))
@@ -325,16 +332,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     heads = members.join(shared, "id").withColumn("place", F.row_number().over(first)).where(F.col("place") <= HEADS)
     met = members.join(heads.select("band", F.col("id").alias("head")), "band").where("id <> head")
     stars = stage.keep(met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct(), "stars")
-    links = _verified(_likely(stars, keyed, limit), texts, words, limit, stage, "first")
+    links = _verified(_likely(stars, keyed, limit), reps, texts, words, limit, stage, "first")
+
+    # Ids with several sets link the classes of these.
+    each = all_docs.where("doc_id is not null").groupBy("doc_id")
+    each = each.agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"), F.count_if(F.col("set_key").isNull()).alias("blanks"))
+    mixed = stage.keep(each.where("x <> y or (x is not null and blanks > 0)").select("doc_id", "x", "blanks"), "mixed")
+    repeats = not mixed.isEmpty()
+    x = reps.select(F.col("set_key").alias("x"), F.col("doc_id").alias("a"))
+    if repeats:
+        tied = filled.join(mixed, "doc_id").where("set_key <> x").select("x", "set_key").distinct()
+        tied = tied.join(x, "x").join(reps.select("set_key", F.col("doc_id").alias("b")), "set_key").select("a", "b")
+        links = links.unionByName(stage.keep(tied, "tied"))
     roots = stage.keep(components(links, stage, "first"), "roots-first")
 
     # What buckets of three and more still hold in different components.
-    open_ = members.where("size > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    root_of = reps.select("id", "doc_id").join(roots.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    open_ = members.where("size > 2").join(root_of.select("id", F.coalesce("root", "doc_id").alias("root")), "id")
     several = open_.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
     open_ = stage.keep(open_.join(several, "band", "left_semi"), "open")
-    ids = open_.select(F.col("id").alias("doc_id")).distinct()
-    sets = _sets(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), words)
-    sets = stage.keep(sets.select("id", F.array_sort("shingles").alias("shingles")), "open-sets")
+    sets = _sets(open_.select("id").distinct(), reps, texts, words)
+    sets = stage.keep(sets.select("id", "doc_id", F.array_sort("shingles").alias("shingles")), "open-sets")
     able = stage.keep(_linkable(sets, limit).join(open_, "id"), "able")
     few = able.where(f"size <= {SMALL}").select("band", "id", "root", "n", "own")
     other = few.select("band", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "own")))
@@ -343,7 +361,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     meet = meet & (most >= limit * (F.col("n") + F.col("n_b") - most) - 1e-6)
     pairs = few.join(other, meet).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
     more = _likely(pairs.join(stars, ["a", "b"], "left_anti"), keyed, limit)
-    found = _verified(more, texts, words, limit, stage, "second")
+    found = _verified(more, reps, texts, words, limit, stage, "second")
     many = able.where(f"size > {SMALL}").select("band", "id", "root", "own")
     if not many.isEmpty():
         found = found.unionByName(stage.keep(_block_links(many, keyed, sets, limit), "block-links"))
@@ -353,7 +371,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     # Rows of empty texts and null ids belong to no class; a key of their own keeps them apart.
     own = F.coalesce("set_key", F.concat(F.lit("-"), F.coalesce("doc_id", F.lit(0)).cast("string")).cast("binary"))
     own = F.when(F.col("doc_id").isNull(), F.lit("-").cast("binary")).otherwise(own)
-    named = reps.join(roots, "id", "left").select("set_key", F.coalesce("root", "id").alias("component"))
+    roots = roots.withColumnRenamed("id", "a")
+    named = reps.join(roots, reps["doc_id"] == roots["a"], "left").select("set_key", F.coalesce("root", "doc_id").alias("component"))
+    if repeats:  # a blank row of an id goes with its other rows
+        blank = mixed.where("blanks > 0").join(x, "x").join(roots, "a", "left")
+        key = F.concat(F.lit("-"), F.col("doc_id").cast("string")).cast("binary")
+        named = named.unionByName(blank.select(key.alias("set_key"), F.coalesce("root", "a").alias("component")))
     return (
         all_docs.select("doc_id", "n_shingles", own.alias("set_key"))
         .join(named, "set_key", "left")

@@ -316,6 +316,39 @@ def test_near_dedup_of_odd_rows(spark):
     assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 1
 
 
+@pytest.mark.parametrize("small", [64, 3])
+def test_near_dedup_of_repeated_ids(spark, monkeypatch, small):
+    """Each id has up to three texts; ids whose texts are linked, or equal, are one component."""
+    monkeypatch.setattr(near_dup, "SMALL", small)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    bases = [[rng.choice(words) for _ in range(100)] for _ in range(25)]
+    rows = [(i, "") for i in range(0, 60, 7)]
+    for i in range(60):
+        for _ in range(rng.choice([1, 1, 2, 3]) if i % 4 else 1):
+            text = list(rng.choice(bases)) if rng.random() < 0.4 else [rng.choice(words) for _ in range(100)]
+            text[rng.randrange(100)] = rng.choice(words)
+            rows.append((i, " ".join(text)))
+    rows += [rows[-1], (70, rows[20][1].upper()), (70, "")]
+    alone = brute_components([(k, t) for k, (_, t) in enumerate(rows)], 4, 80)
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, (i, _) in enumerate(rows):
+        x, y = top(i), top(rows[alone[k][1]][0])
+        root[max(x, y)] = min(x, y)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, near_dup.near_duplicates(docs, words=4).collect()))
+    assert got == sorted((i, alone[k][0], top(i), i == top(i)) for k, (i, _) in enumerate(rows))
+    assert 1 < len({top(i) for i in root}) < len(root)
+    kept = near_dup.dedup_documents(docs, words=4).collect()
+    assert sorted(map(tuple, kept)) == sorted(r for r in rows if r[0] == top(r[0]))
+
+
 def test_exact_dedup(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "TRIE_BYTES", 4096)
     docs = odd_docs(spark)
