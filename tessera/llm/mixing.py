@@ -18,7 +18,8 @@ Defined results
 ---------------
 * a null source is the source '' ; an empty or null text has size 1; a null id hashes as '';
 * equal hashes go by id, then size; repeated rows are rows of their own;
-* a source without a given weight is refused; an empty table gives an empty result.
+* a source without a given weight is refused; an empty table gives an empty result;
+* the driver holds each source's total and the schedule, so a table of more than 100,000 sources (MOST_SOURCES) is refused.
 """
 
 from __future__ import annotations

@@ -414,6 +414,15 @@ def test_mix_keeps_every_row(spark):
     assert mixed.columns == docs.columns and mixed.count() == docs.count()
 
 
+def test_too_many_sources_are_refused_as_stated(spark, monkeypatch):
+    assert f"{mixing.MOST_SOURCES:,} sources" in mixing.__doc__
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    docs = odd_docs(spark)  # s0, s1, s2 and a null source
+    assert mixing.mix(docs.where("source is not null")).count() == 13
+    with pytest.raises(ValueError, match="more than 3 sources"):
+        mixing.mix(docs)
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------------
 
 
