@@ -37,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ASCII_SPACE, Stage, table
+from tessera.llm.common import ASCII_SPACE, Stage, maybe_among, spread, table, tidy, without
 
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-#: Members of a bucket whose pairs are emitted; members of a block in larger ones.
-SMALL, BLOCK = 64, 512
+#: Members of a bucket whose pairs are emitted; members and shingles of a block in larger ones.
+SMALL, BLOCK, BLOCK_SHINGLES = 64, 512, 1 << 20
 DEVIATIONS = 4.5
 #: Members of a bucket that all others meet.
 HEADS = 2
@@ -142,11 +142,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, text_key, n_shingles, set_key (digest of the whole set), sketch of rows (doc_id, text, text_key)."""
     names = ["doc_id", "text_key", "n_shingles", "set_key", "sketch"]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, made = [], [], []
-            for text in batch.column(1).to_pylist():
-                h = shingle_set(text, words)
+            for value in batch.column(1):
+                h = shingle_set(value.as_py(), words)
                 sizes.append(len(h))
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 made.append(sketch(h).tobytes() if len(h) else None)
@@ -156,30 +157,39 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, sketch binary")
 
 
-def _sets(ids: DataFrame, reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """id, doc_id, shingles of the classes in ids, each from the one text that stands for it."""
-    wanted = reps.join(ids, "id", "left_semi").select("id", "doc_id", "text_key")
-    docs = texts.join(wanted, ["doc_id", "text_key"]).select("id", "doc_id", "text_key", "text").dropDuplicates(["doc_id", "text_key"])
+def _sets(ids: DataFrame, reps: DataFrame, texts: DataFrame, words: int, stage: Stage, name: str) -> DataFrame:
+    """id, doc_id, shingles (sorted) of the classes in ids, each from the one text that stands for it.
 
+    Texts that the bitmap of the wanted ones rules out are not shuffled.
+    """
+    wanted = stage.keep(reps.join(ids, "id", "left_semi").select("id", "doc_id", "text_key"), f"wanted-{name}")
+    near = maybe_among(texts, ["doc_id", "text_key"], wanted.select("doc_id", "text_key")).where("_maybe").drop("_maybe")
+    docs = near.join(wanted.hint("merge"), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 sets = [shingle_set(t, words).view(np.int64) for t in part.column(2).to_pylist()]
+                for s in sets:
+                    s.sort()
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "doc_id", "shingles"])
 
-    return docs.select("id", "doc_id", "text").mapInArrow(run, "id long, doc_id long, shingles array<long>")
+    made = docs.select("id", "doc_id", "text").mapInArrow(run, "id long, doc_id long, shingles array<long>")
+    return stage.keep(made, f"sets-{name}")
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
     """Pairs (a, b) of classes whose estimated similarity is not clearly under the limit."""
     least = least_estimate(limit)
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     both = both.where(F.least("n_a", "n_b") >= limit * F.greatest("n_a", "n_b") - 1e-6).select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -192,12 +202,10 @@ def _likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, n_a long, n_b long")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, limit: float, stage: Stage, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, limit: float, stage: Stage, name: str) -> DataFrame:
     """Links (a, b) of documents: those of the likely pairs of classes that the full sets confirm."""
-    pairs = stage.keep(pairs, f"likely-{name}")
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), reps, texts, words)
     side = lambda x: sets.select(F.col("id").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("shingles").alias(f"h_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     shared = F.size(F.array_intersect("h_a", "h_b")).cast("long")
     percent = round(limit * 100)
     links = both.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"), "n_a", "n_b", shared.alias("i")).where(
@@ -206,6 +214,10 @@ def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, l
     return stage.keep(links.select("a", "b"), f"links-{name}")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
     """id, root (the smallest id of its component) of each id with a link, by rounds of large and small stars."""
 
@@ -256,9 +268,11 @@ def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: fl
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("band").agg(F.max(F.struct("n", F.col("root").alias("main"))).alias("top")).select("band", "top.main")
     rows = members.join(main, "band").select("main", "id", "root", "own").distinct()
-    groups = rows.groupBy("main").agg(
-        F.ceil(F.count_if(F.col("root") != F.col("main")) / BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("rights"),
+    # Blocks are bounded by members and by shingles, so that long documents make more of them.
+    size = F.greatest(F.lit(1 / BLOCK), F.col("n") / BLOCK_SHINGLES)
+    groups = rows.join(reps.select("id", "n"), "id").groupBy("main").agg(
+        F.ceil(F.sum(F.when(F.col("root") != F.col("main"), size).otherwise(0.0))).cast("int").alias("lefts"),
+        F.ceil(F.sum(size)).cast("int").alias("rights"),
     )
     rows = rows.join(groups.where("lefts > 0"), "main").join(reps, "id").join(sets, "id")
     spread = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
@@ -304,14 +318,14 @@ def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: fl
     return left.unionByName(right).groupBy("main", "l", "r").applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8, stage: Stage | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     if not 0 < limit <= 1 or not 1 <= words <= len(_PLACE):
         raise ValueError("limit must be in (0, 1], words in 1..64")
-    stage = Stage(docs.sparkSession, "near")
+    stage = stage or Stage(docs.sparkSession, "near")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
-    all_docs = stage.keep(sketches(texts, words), "sketches")
+    all_docs = stage.keep(sketches(spread(texts), words), "sketches")
     filled = all_docs.where("n_shingles > 0 and doc_id is not null")
     reps = filled.groupBy("set_key", "sketch", F.col("n_shingles").alias("n")).agg(
         F.min_by("text_key", "doc_id").alias("text_key"), F.min("doc_id").alias("doc_id")
@@ -319,20 +333,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     # Pairs are of classes, by an id of their own; links are of documents, by the smallest doc_id of a class.
     reps = stage.keep(reps.withColumn("id", F.monotonically_increasing_id()), "classes")
     part = F.expr(f"substring(sketch, band_no * {2 * BAND} + 1, {2 * BAND})")
-    bands = (
-        reps.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1))).alias("band_no"))
-        .select("id", F.xxhash64("band_no", part).alias("band"))
-        .distinct()
+    # The number of a band is part of its hash, so a class is in a bucket once.
+    bands = reps.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1))).alias("band_no")).select(
+        "id", F.xxhash64("band_no", part).alias("band")
     )
     buckets = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = stage.keep(bands.join(buckets, "band"), "members")
-    keyed = reps.select("id", "n", "sketch")
+    members = stage.keep(bands.join(buckets.hint("merge"), "band"), "members")
+    # Most classes share no band with another; what follows moves sketches of the others only.
+    keyed = maybe_among(reps.select("id", "n", "sketch"), ["id"], members.select("id").distinct()).where("_maybe").drop("_maybe")
+    keyed = stage.keep(keyed, "keyed")
     shared = members.groupBy("id").agg(F.sum(F.log2("size")).alias("shared"))
     first = Window.partitionBy("band").orderBy(F.desc("shared"), "id")
     heads = members.join(shared, "id").withColumn("place", F.row_number().over(first)).where(F.col("place") <= HEADS)
     met = members.join(heads.select("band", F.col("id").alias("head")), "band").where("id <> head")
     stars = stage.keep(met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct(), "stars")
-    links = _verified(_likely(stars, keyed, limit), reps, texts, words, limit, stage, "first")
+    likely = stage.keep(_likely(stars, keyed, limit), "likely-first")
+    first_sets = _sets(_ends(likely), reps, texts, words, stage, "first")
+    links = _verified(likely, first_sets, limit, stage, "first")
 
     # Ids with several sets link the classes of these.
     each = all_docs.where("doc_id is not null").groupBy("doc_id")
@@ -351,8 +368,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     open_ = members.where("size > 2").join(root_of.select("id", F.coalesce("root", "doc_id").alias("root")), "id")
     several = open_.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
     open_ = stage.keep(open_.join(several, "band", "left_semi"), "open")
-    sets = _sets(open_.select("id").distinct(), reps, texts, words)
-    sets = stage.keep(sets.select("id", "doc_id", F.array_sort("shingles").alias("shingles")), "open-sets")
+    open_ids = open_.select("id").distinct()
+    more_sets = _sets(open_ids.join(first_sets, "id", "left_anti"), reps, texts, words, stage, "second")
+    sets = stage.keep(first_sets.join(open_ids, "id", "left_semi").unionByName(more_sets), "open-sets")
     able = stage.keep(_linkable(sets, limit).join(open_, "id"), "able")
     few = able.where(f"size <= {SMALL}").select("band", "id", "root", "n", "own")
     other = few.select("band", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "own")))
@@ -360,14 +378,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
     meet = (few["band"] == other["band"]) & (F.col("id") < F.col("id_b")) & (F.col("root") != F.col("root_b"))
     meet = meet & (most >= limit * (F.col("n") + F.col("n_b") - most) - 1e-6)
     pairs = few.join(other, meet).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
-    more = _likely(pairs.join(stars, ["a", "b"], "left_anti"), keyed, limit)
-    found = _verified(more, reps, texts, words, limit, stage, "second")
+    more = stage.keep(_likely(pairs.join(stars, ["a", "b"], "left_anti"), keyed, limit), "likely-second")
+    found = _verified(more, sets, limit, stage, "second")
     many = able.where(f"size > {SMALL}").select("band", "id", "root", "own")
     if not many.isEmpty():
         found = found.unionByName(stage.keep(_block_links(many, keyed, sets, limit), "block-links"))
     if not found.isEmpty():
         roots = stage.keep(components(links.unionByName(found), stage, "second"), "roots-second")
 
+    stage.only("sketches", "classes", "mixed", "roots-first", "roots-second")
     # Rows of empty texts and null ids belong to no class; a key of their own keeps them apart.
     own = F.coalesce("set_key", F.concat(F.lit("-"), F.coalesce("doc_id", F.lit(0)).cast("string")).cast("binary"))
     own = F.when(F.col("doc_id").isNull(), F.lit("-").cast("binary")).otherwise(own)
@@ -387,9 +406,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8) -> Data
 
 def dedup_documents(docs: DataFrame, words: int = 5, limit: float = 0.8) -> DataFrame:
     """The rows of docs that stay, one document of each group, with their columns."""
-    kept = near_duplicates(docs, words, limit).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].cast("long").alias("_id"))
-    return rows.join(kept, rows["_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select("row.*")
+    stage = Stage(docs.sparkSession, "near")
+    gone = near_duplicates(docs, words, limit, stage).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stage.keep(gone, "gone")
+    stage.only("gone")
+    return without(docs, "doc_id", gone)
 
 
 def query(spark, sf_dir):
