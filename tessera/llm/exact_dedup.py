@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ASCII_SPACE, table
+from tessera.llm.common import ASCII_SPACE, Stage, spread, table, tidy, without
 
 _SPACE = ASCII_SPACE.encode()
-#: Bytes of text that one trie holds before it spills.
-TRIE_BYTES = 48 << 20
+#: Bytes that one trie holds before it spills: those of its edges, and what a node takes besides.
+TRIE_BYTES = 96 << 20
+NODE_BYTES = 320
 BATCH_ROWS = 512
 
 PARTIAL = "norm_len long, digest binary, body binary, code_points long, keep_id long, members long"
@@ -54,7 +55,7 @@ class _Node:
     __slots__ = ("edge", "kids", "owner", "size")
 
     def __init__(self, edge: bytes, owner: Owner | None = None):
-        self.edge, self.owner, self.kids, self.size = edge, owner, None, len(edge)
+        self.edge, self.owner, self.kids, self.size = edge, owner, None, len(edge) + NODE_BYTES
 
 
 def _shared(a: bytes, b: bytes) -> int:
@@ -104,10 +105,12 @@ class PatriciaTrie:
                 continue
             n = _shared(edge, text[at : at + len(edge)])
             fork = _Node(edge[:n])
-            fork.size = kid.size
+            fork.size = kid.size + NODE_BYTES
             kid.edge, kid.size = edge[n:], kid.size - n
             fork.kids = {edge[n]: kid}
             node.kids[text[at]] = fork
+            for p in path:
+                p.size += NODE_BYTES
             node, at = fork, at + n
             path.append(fork)
 
@@ -164,6 +167,7 @@ def _normal(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(None, _SPACE)
 
 
+@tidy
 def local_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> one partial owner per distinct text of the task."""
     trie = PatriciaTrie()
@@ -175,6 +179,7 @@ def local_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _emit(trie.items())
 
 
+@tidy
 def merged_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial owners of whole (length, digest) keys -> owners; the same schema."""
     trie = PatriciaTrie()
@@ -187,6 +192,7 @@ def merged_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from _emit(trie.items())
 
 
+@tidy
 def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> doc_id, norm_len, digest."""
     for batch in batches:
@@ -199,7 +205,7 @@ def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def owners(docs: DataFrame) -> DataFrame:
     """norm_len, digest, keep_id, group_size, texts (1, or more if a key has several texts) of each group."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     partial = rows.mapInArrow(local_owners, PARTIAL).repartition("norm_len", "digest")
     merged = partial.mapInArrow(merged_owners, PARTIAL).withColumn("text_key", F.xxhash64("body")).drop("body")
     order = F.struct(-F.col("code_points"), F.col("keep_id").isNull(), "keep_id")
@@ -235,8 +241,15 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with their columns; of rows repeating id and text, one."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_sha")).distinct()
+    """The rows of docs that stay, with their columns; of rows repeating id and text, one.
+
+    Only where ids repeat or are null are whole rows moved: else the few ids that go are enough.
+    """
+    stage = Stage(docs.sparkSession, "exact")
+    decided = stage.keep(exact_dedup(docs), "decided")
+    if decided.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return without(docs, "doc_id", decided.where("not kept").select(F.col("doc_id").alias("_gone")))
+    kept = decided.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_sha")).distinct()
     rows = docs.select(
         F.struct(*(docs[c] for c in docs.columns)).alias("row"),
         docs["doc_id"].cast("long").alias("_id"),
