@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -35,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import spread, table, tidy
 
 MARK = "▁"
-#: Distinct words that a worker remembers; characters of texts taken at a time.
-WORDS = 600_000
-BLOCK_CHARS = 1 << 21
+#: Distinct words that a worker remembers, and the longest it does; checked pairs of pieces; characters of texts taken at a time.
+WORDS = 400_000
+LONGEST = 64
+PAIRS = 1_000_000
+BLOCK_CHARS = 1 << 20
 UNKNOWN = -1
 
 
@@ -93,6 +96,7 @@ class PieceModel:
         self.bytes_fallback = lib.is_byte(self.byte_ids[0])
         self.unknown = lib.unk_id()
         self.floor = min(self.score) - 10
+        self.longest = max(map(len, self.ids))
         self.trie: dict = {}
         for piece, i in self.ids.items():
             node = self.trie
@@ -143,6 +147,8 @@ class PieceModel:
         found = self.pairs.get(key)
         if found is None:
             a, b = self.pieces[before], self.pieces[piece]
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
             found = self.pairs[key] = self.merge(a + b) == [a, b]
         return found
 
@@ -156,13 +162,30 @@ class PieceModel:
             self.runs[n] = np.array(ids, "<i4").tobytes()
         return self.runs[n]
 
+    def _open(self, word: str, end: int) -> list[tuple[int, dict]]:
+        """Starts in a word and the vocabulary nodes that lead from them to ``end``."""
+        out = []
+        for j in range(max(0, end - self.longest), end):
+            node = self.trie
+            for ch in word[j:end]:
+                node = node.get(ch)
+                if node is None:
+                    break
+            else:
+                out.append((j, node))
+        return out
+
     def words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each distinct word, by one traversal of their trie."""
+        """Ids of each distinct word, by one traversal of their trie.
+
+        A state is three numbers.  Open vocabulary paths are held for one prefix only; where two words part, those of their
+        common prefix are walked again, from at most as many starts as the longest piece has characters.
+        """
         out: dict[str, list[int]] = {}
         root, bpe, score, fits, pairs = self.trie, self.bpe, self.score, self.fits, self.pairs
         n_pieces = len(self.pieces)
-        # State of the prefix of length i: last piece, its start, best score, open vocabulary paths.
-        last, start, best, paths = [UNKNOWN], [0], [0.0], [[]]
+        # State of the prefix of length i: last piece, its start, best score.
+        last, start, best = array("i", [UNKNOWN]), array("i", [0]), array("d", [0.0])
         before = ""
         for word in sorted(set(words)):
             n = len(word)
@@ -171,11 +194,13 @@ class PieceModel:
                 if a != b:
                     break
                 keep += 1
-            del last[keep + 1 :], start[keep + 1 :], best[keep + 1 :], paths[keep + 1 :]
+            del last[keep + 1 :], start[keep + 1 :], best[keep + 1 :]
+            still = self._open(word, keep)
             for i in range(keep, n):
                 ch = word[i]
-                still, piece, at, top = [], UNKNOWN, i, -math.inf
-                for j, node in (*paths[i], (i, root)):
+                paths, still, piece, at, top = still, [], UNKNOWN, i, -math.inf
+                paths.append((i, root))
+                for j, node in paths:
                     node = node.get(ch)
                     if node is None:
                         continue
@@ -198,7 +223,6 @@ class PieceModel:
                 last.append(piece)
                 start.append(at)
                 best.append(top)
-                paths.append(still)
             ids, i = [], n
             while i:
                 p = last[i]
@@ -221,9 +245,10 @@ class PieceCodec:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, parts: set[str]) -> None:
-        """Makes sure that the cache holds each part (what stands between two spaces, mark included by meaning)."""
-        missing = []
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
+        """Makes sure that the cache holds each part (what stands between two spaces, mark included by meaning), and
+        returns those that are too long for it."""
+        missing, rare = [], {}
         for p in parts:
             if p not in self.new:
                 if p in self.old:
@@ -239,7 +264,8 @@ class PieceCodec:
             atoms.update(y for x in lines.values() for y in x[1:])
         ids = {w: np.array(x, "<i4").tobytes() for w, x in self.model.words(atoms).items()}
         for p, x in lines.items():
-            self.new[p] = feed.join([ids[MARK + x[0]], *(ids[y] for y in x[1:])]) if breaks else ids[MARK + p]
+            (self.new if len(p) <= LONGEST else rare)[p] = feed.join([ids[MARK + x[0]], *(ids[y] for y in x[1:])]) if breaks else ids[MARK + p]
+        return rare
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, four bytes each."""
@@ -248,9 +274,10 @@ class PieceCodec:
         split = [(t.replace(MARK, " ") if MARK in t else t).split(" ") if t else [] for t in texts]
         parts = {p for x in split for p in x}
         parts.discard("")
-        self._learn(parts)
+        rare = self._learn(parts)
         lone = np.array([self.model.ids[MARK]], "<i4").tobytes() if MARK in self.model.ids else b""
-        get, out = self.new.__getitem__, []
+        new, out = self.new, []
+        get = (lambda p: new.get(p) or rare[p]) if rare else new.__getitem__
         for x in split:
             if "" not in x:
                 out.append(b"".join(map(get, x)))
@@ -299,9 +326,10 @@ def _blocks(texts: list[str | None]) -> Iterator[slice]:
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_pieces, ids, round_trip (whether decoding the ids returns the text) for every row of docs."""
-    rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = spread(docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
@@ -326,6 +354,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     rows = encoded.select("doc_id", "ids")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
