@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import boosting
-from tessera.llm.common import Stage, key_bits, table
+from tessera.llm.common import Stage, key_bits, spread, table, tidy
 
 #: Bound of the labelled sample; entries of the learned lexicon; cached words of a worker.
 TRAIN_ROWS = 20_000
 LEXICON = 4_000
-CACHE = 400_000
+CACHE = 200_000
 THRESHOLD = 0.7
 NEAR = 4
 
@@ -76,7 +76,7 @@ class Lexicon:
         self.seen: dict[str, tuple] = {}
 
     def token(self, token: str) -> tuple:
-        """insult, weight, second person, shouted, obfuscated, unmasked insult, stretched."""
+        """insult, weight, second person, shouted, obfuscated, unmasked insult, stretched, capitals."""
         word = _EDGE.sub("", token)
         low = word.lower()
         get = self.weights.get
@@ -87,7 +87,7 @@ class Lexicon:
             plain = _EDGE.sub("", token.lower().translate(LEET))
             squeezed = re.sub(r"[\W_]+", "", plain)
             unmasked = plain in _INSULTS or squeezed in _INSULTS
-        out = (insult, weight, low in _SECOND, len(word) > 2 and word.isupper(), hidden, unmasked, bool(_LONG.search(low)))
+        out = (insult, weight, low in _SECOND, len(word) > 2 and word.isupper(), hidden, unmasked, bool(_LONG.search(low)), 0 if token.islower() else sum(map(str.isupper, token)))
         if len(self.seen) >= CACHE:
             self.seen.clear()
         self.seen[token] = out
@@ -100,7 +100,7 @@ class Lexicon:
         if not n:
             return [0.0] * len(FEATURES)
         seen, token = self.seen, self.token
-        insults = learned = shouted = obfuscated = unmasked = stretched = you = kinds = 0
+        insults = learned = shouted = obfuscated = unmasked = stretched = you = kinds = capitals = 0
         total = top = 0.0
         hits = set()
         for t, k in Counter(tokens).items():
@@ -119,6 +119,7 @@ class Lexicon:
             obfuscated += k * x[4]
             unmasked += k * x[5]
             stretched += k * x[6]
+            capitals += k * x[7]
         near = 0.0
         if hits and you:
             addressed = [i for i, t in enumerate(tokens) if (seen.get(t) or token(t))[2]]
@@ -128,7 +129,6 @@ class Lexicon:
             near = float((np.minimum(at - ends[place], ends[place + 1] - at) <= NEAR).mean())
         chars = len(text)
         letters = max(1, sum(map(len, tokens)))
-        capitals = sum(1 for c in text if c.isupper()) if not text.islower() else 0
         exclaims, questions = text.count("!"), text.count("?")
         signs = sum(map(text.count, "@#$%&*+=<>^~|\\")) / chars
         return [
@@ -138,6 +138,7 @@ class Lexicon:
         ]
 
 
+@tidy
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text, toxic -> term, in toxic documents, in others: sums of a task."""
     bad, good = Counter(), Counter()
@@ -172,6 +173,7 @@ def learn_lexicon(sample: DataFrame, entries: int = LEXICON) -> dict[str, float]
 
 
 def _measured(weights: dict[str, float]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights)
         for batch in batches:
@@ -208,9 +210,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[dic
 
 def score(docs: DataFrame, weights: dict[str, float], forest: boosting.Forest) -> DataFrame:
     """doc_id, score for every row of docs."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = spread(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights)
         for batch in batches:
@@ -231,6 +234,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     text = docs.columns.index("text") if "text" in docs.columns else [c.lower() for c in docs.columns].index("text")
     packed = docs.select(F.col(f"`{names[text]}`").cast("string").alias("text"), F.struct(*(docs[c] for c in names)).alias("row"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights)
         for batch in batches:
