@@ -6,6 +6,9 @@ import ctypes
 import functools
 import gc
 import uuid
+from collections.abc import Iterable
+from contextlib import closing
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,11 +61,23 @@ class Stage:
         self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def lines(self, lines: Iterable[str], name: str, schema: str) -> DataFrame:
+        """Lines of JSON that the driver makes, as a file and reread."""
+        path = self._path(name)
+        with closing(path.getFileSystem(self._conf()).create(path, True)) as out:
+            for some in batched(lines, 10_000):
+                out.write("".join(f"{x}\n" for x in some).encode())
+        return self.spark.read.schema(schema).json(f"{self.root}/{name}")
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _conf(self):
+        return self.spark._jsparkSession.sessionState().newHadoopConf()
+
     def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        path.getFileSystem(conf).delete(path, True)
+        path = self._path(name)
+        path.getFileSystem(self._conf()).delete(path, True)
 
     def only(self, *names: str) -> None:
         """Deletes what was kept under other names."""

@@ -18,5 +18,6 @@ QUERIES = {
 ORACLES = {
     "op1_sharding": sharding.SQL,
     "op5_chat_format": chat.SQL,
+    "op9_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
