@@ -2,24 +2,27 @@
 
 File layout, all little-endian::
 
-    0   8s   magic  b"TSRBITS1"
+    0   8s   magic  b"TSRBITS2"
     8   u32  bits per id
     12  u32  ids per block
-    16  u64  number of ids (n)
-    24  u64  number of documents (d)
-    32  u64  number of blocks (b)
-    40  u64  doc_id (two's complement), d times
+    16  ...  blocks: ids of `bits` bits each, lowest bit first, padded to whole bytes
+        u64  doc_id (two's complement), d times
         u64  first id of each document inside the file, d + 1 times
-        u64  byte offset of each block behind the index, b + 1 times
-        ...  blocks: ids of `bits` bits each, lowest bit first, padded to whole bytes
+        u64  byte offset of each block in the file, b + 1 times
+        u64  number of ids (n), of documents (d), of blocks (b)
+        8s   magic
 
-Any block unpacks alone with numpy, so any document is read without its neighbours.
+Any block unpacks alone with numpy, so any document is read without its neighbours.  Blocks are written as
+they fill; a task holds the ids of a block and the index of its file.
 
-Documents are range-partitioned by id; each partition is tokenised and written as one
-file in ascending order.  A task writes a name of its own attempt and then renames, so
-tasks that run twice leave one whole file.  The manifest (one row per file) is kept
+Documents are range-partitioned by id and the beginning of the text, so that rows of one id or of none can be
+split; each partition is tokenised and written as one file in ascending order.  A task writes a name of its own
+attempt and then renames, so tasks that run twice leave one whole file.  The manifest (one row per file) is kept
 as Parquet; running sums over it give each file's first id.
 
+Ids are those of the tokenizers library with its defaults but ``add_special_tokens=False``: an added token of the
+vocabulary that a text spells out is that token.
+
 Defined results
 ---------------
 * a null text is empty: it has its end id alone; ids of rows may repeat, each row is a document, ordered
@@ -32,6 +35,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,15 +43,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Stage, table
+from tessera.llm.common import Stage, table, tidy
 
-MAGIC = b"TSRBITS1"
-_HEAD = struct.Struct("<8sIIQQQ")
+MAGIC = b"TSRBITS2"
+_HEAD = struct.Struct("<8sII")
+_TAIL = struct.Struct("<QQQ8s")
 BLOCK_IDS = 1 << 13
 #: The id of a row without one, in the files.
 NO_ID = -(1 << 63)
 #: Distinct words of which a worker remembers the ids.
-WORDS = 600_000
+WORDS = 400_000
+#: Code points of a text that tell ranges of one id apart.
+RANGE_CHARS = 64
 #: Documents read back at a time, in ids.
 READ_IDS = 1 << 20
 
@@ -73,13 +80,35 @@ def unpack(data, count: int, bits: int) -> np.ndarray:
     return flat.astype(np.uint32) @ (np.uint32(1) << np.arange(bits, dtype=np.uint32))
 
 
-def file_bytes(doc_ids: list[int], lengths: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK_IDS) -> Iterator[bytes]:
-    blocks = [pack(ids[i : i + block], bits) for i in range(0, len(ids), block)]
-    yield _HEAD.pack(MAGIC, bits, block, len(ids), len(doc_ids), len(blocks))
-    yield np.asarray(doc_ids, "<i8").tobytes()
-    yield np.concatenate([[0], np.cumsum(lengths)]).astype("<u8").tobytes()
-    yield np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8").tobytes()
-    yield from blocks
+class TokenWriter:
+    """Writes one file to a binary stream, block by block."""
+
+    def __init__(self, stream, bits: int, block: int = BLOCK_IDS):
+        self.stream, self.bits, self.block = stream, bits, block
+        self.doc_ids, self.starts, self.offsets = array("q"), array("q", [0]), array("q", [_HEAD.size])
+        self.rest = np.empty(0, "<u4")
+        stream.write(_HEAD.pack(MAGIC, bits, block))
+
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.doc_ids.append(NO_ID if doc_id is None else doc_id)
+        self.starts.append(self.starts[-1] + len(ids))
+        self.rest = np.concatenate([self.rest, ids])
+        whole = len(self.rest) // self.block * self.block
+        for i in range(0, whole, self.block):
+            self._write(self.rest[i : i + self.block])
+        self.rest = self.rest[whole:]
+
+    def _write(self, ids: np.ndarray) -> None:
+        data = pack(ids, self.bits)
+        self.stream.write(data)
+        self.offsets.append(self.offsets[-1] + len(data))
+
+    def close(self) -> None:
+        if len(self.rest):
+            self._write(self.rest)
+        for index in (self.doc_ids, self.starts, self.offsets):
+            self.stream.write(np.array(index, "<i8").tobytes())
+        self.stream.write(_TAIL.pack(self.starts[-1], len(self.doc_ids), len(self.offsets) - 1, MAGIC))
 
 
 class TokenFile:
@@ -87,20 +116,23 @@ class TokenFile:
 
     def __init__(self, stream):
         self.stream = stream
-        magic, self.bits, self.block, self.n, self.docs, blocks = _HEAD.unpack(stream.read(_HEAD.size))
-        if magic != MAGIC:
-            raise ValueError("not a token file")
+        magic, self.bits, self.block = _HEAD.unpack(stream.read(_HEAD.size))
+        end = stream.seek(0, 2) - _TAIL.size
+        stream.seek(end)
+        self.n, self.docs, blocks, last = _TAIL.unpack(stream.read(_TAIL.size))
+        if magic != MAGIC or last != MAGIC:
+            raise ValueError("not a whole token file")
+        stream.seek(end - 8 * (2 * self.docs + blocks + 2))
         self.doc_ids = np.frombuffer(stream.read(8 * self.docs), "<i8")
-        self.starts = np.frombuffer(stream.read(8 * (self.docs + 1)), "<u8").astype(np.int64)
-        self.offsets = np.frombuffer(stream.read(8 * (blocks + 1)), "<u8").astype(np.int64)
-        self.data = _HEAD.size + 8 * (2 * self.docs + blocks + 2)
+        self.starts = np.frombuffer(stream.read(8 * (self.docs + 1)), "<i8").astype(np.int64)
+        self.offsets = np.frombuffer(stream.read(8 * (blocks + 1)), "<i8").astype(np.int64)
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids start..stop of the file; reads the blocks that hold them and no others."""
         if start >= stop:
             return np.empty(0, np.uint32)
         a, b = start // self.block, (stop - 1) // self.block + 1
-        self.stream.seek(self.data + int(self.offsets[a]))
+        self.stream.seek(int(self.offsets[a]))
         raw = self.stream.read(int(self.offsets[b] - self.offsets[a]))
         out = [
             unpack(
@@ -121,16 +153,29 @@ class WordEncoder:
 
     The vocabulary splits texts into words and merges inside words only, so the ids of a
     text are those of its words in a row.  ``words`` most recent distinct words are kept
-    (in two generations), each as its ids in four bytes.
+    (in two generations), each as its ids in four bytes.  Texts that spell an added token, and all texts where the
+    file describes another way of splitting, go through the library as a whole.
     """
 
     def __init__(self, path: str, words: int = WORDS):
+        import json
+
         import regex
         from tokenizers import Tokenizer
 
-        whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
-        self.whole, self.model, self.words = whole, whole.model, words
+        self.library = Tokenizer.from_file(path)
+        self.model, self.words = self.library.model, words
+        said = json.loads(self.library.to_str())
+        split = said["pre_tokenizer"] or {}
+        self.by_word = (
+            said["normalizer"] is None
+            and said["model"]["type"] == "BPE"
+            and not said["model"].get("dropout")
+            and split.get("type") == "ByteLevel"
+            and not split.get("add_prefix_space")
+            and split.get("use_regex", True)
+        )
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.find = regex.compile(WORD).findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spelt = {b: chr(b) for b in plain}
@@ -173,6 +218,8 @@ class WordEncoder:
         A single space always starts a word of the split, so a text falls apart at its
         spaces; texts with two spaces in a row or one at an end are split as a whole.
         """
+        if not self.by_word or any(t in text for t in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if "  " in text or text[:1] == " " or text[-1:] == " ":
             return self._whole(text)
         first, *rest = text.split(" ")
@@ -210,31 +257,30 @@ def write_files(docs: DataFrame, out: str, tokenizer: str, vocabulary: int, end_
     end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode = encoder(tokenizer).encode
-        doc_ids, lengths, packed = [], [], []
+        number, writer, name = TaskContext.get().partitionId(), None, ""
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
-                doc_ids.append(NO_ID if doc_id is None else doc_id)
-                lengths.append(len(ids) // 4)
-                packed.append(np.frombuffer(ids, "<u4").astype("<u2" if bits <= 16 else "<u4"))
-        if not doc_ids:
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                if writer is None:
+                    store, folder = _open(out)
+                    store.create_dir(folder, recursive=True)
+                    name, own = f"{folder}/ids-{number:06d}.bin", f"{folder}/.{uuid.uuid4().hex}"
+                    stream = store.open_output_stream(own)
+                    writer = TokenWriter(stream, bits)
+                writer.add(doc_id.as_py(), np.frombuffer(encode(text.as_py()) + end, "<u4"))
+        if writer is None:
             return
-        number = TaskContext.get().partitionId()
-        store, folder = _open(out)
-        store.create_dir(folder, recursive=True)
-        name, own = f"{folder}/ids-{number:06d}.bin", f"{folder}/.{uuid.uuid4().hex}"
-        with store.open_output_stream(own) as stream:
-            for piece in file_bytes(doc_ids, np.array(lengths, np.int64), np.concatenate(packed), bits):
-                stream.write(piece)
+        writer.close()
+        stream.close()
         store.move(own, name)
-        cols = [[number], [f"{out}/ids-{number:06d}.bin"], [len(doc_ids)], [int(sum(lengths))]]
+        cols = [[number], [f"{out}/ids-{number:06d}.bin"], [len(writer.doc_ids)], [writer.starts[-1]]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["file_no", "path", "n_docs", "n_ids"])
 
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(F.col("doc_id"), F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(write, "file_no long, path string, n_docs long, n_ids long")
 
 
@@ -246,6 +292,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
     before = F.sum("n_ids").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.withColumn("base", F.coalesce(before, F.lit(0))).select("file_no", "path", "base")
 
+    @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
