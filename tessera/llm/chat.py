@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 class ChatTemplate:
     """A turn is ``opening + role + divider + text + closing``.
 
-    ``\\`` escapes inside texts: it is doubled, and each control string gets one
-    behind its first character, so that no text holds a control string.
+    ``\\`` escapes inside texts: it is doubled, and each character that starts a control string becomes
+    ``\\`` and a letter of its own.  So no escaped text holds even the first character of a control string.
     """
 
     opening: str = "### "
@@ -44,19 +44,29 @@ class ChatTemplate:
 DEFAULT = ChatTemplate()
 
 
-def escape(text: Column, template: ChatTemplate = DEFAULT) -> Column:
+def _letters(template: ChatTemplate) -> dict[str, str]:
+    """The escape of each character that starts a control string, in order; the divider's comes last, for roles."""
+    starts = [*dict.fromkeys(c[0] for c in template.controls), template.divider[0]]
+    return {ch: f"\\{chr(ord('a') + i)}" for i, ch in enumerate(dict.fromkeys(starts))}
+
+
+def escape(text: Column, template: ChatTemplate = DEFAULT, role: bool = False) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for control in template.controls:
-        out = F.replace(out, F.lit(control), F.lit(f"{control[0]}\\{control[1:]}"))
+    for ch, said in _letters(template).items():
+        if role or ch in {c[0] for c in template.controls}:
+            out = F.replace(out, F.lit(ch), F.lit(said))
     return out
 
 
-def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+def unescape(text: Column, template: ChatTemplate = DEFAULT) -> Column:
+    """Pairs of ``\\`` are found from the left, and between them each escape stands for its character."""
 
+    def plain(x: Column) -> Column:
+        for ch, said in _letters(template).items():
+            x = F.replace(x, F.lit(said), F.lit(ch))
+        return x
 
-def _escape_role(role: Column, template: ChatTemplate) -> Column:
-    return F.replace(escape(role, template), F.lit(template.divider[0]), F.lit(f"\\{template.divider[0]}"))
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), plain), "\\")
 
 
 def format_chats(rows: DataFrame, template: ChatTemplate = DEFAULT) -> DataFrame:
@@ -71,7 +81,7 @@ def format_chats(rows: DataFrame, template: ChatTemplate = DEFAULT) -> DataFrame
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    head = lambda t: F.concat(F.lit(template.opening), _escape_role(t["role"], template), F.lit(template.divider))
+    head = lambda t: F.concat(F.lit(template.opening), escape(t["role"], template, role=True), F.lit(template.divider))
     parts = chats.select(
         "conv_id",
         F.transform("turns", lambda t: t["role"]).alias("roles"),
@@ -123,7 +133,7 @@ def read_chats(formatted: DataFrame, template: ChatTemplate = DEFAULT) -> DataFr
         role = F.substr(x, F.lit(opened + 1), head - opened - divided)
         body = F.substr(x, head + 1, F.get("seg_chars", i * 3 + 1))
         return F.struct(
-            unescape(role).alias("role"), unescape(body).alias("text"), F.get("seg_loss", i * 3 + 1).alias("loss")
+            unescape(role, template).alias("role"), unescape(body, template).alias("text"), F.get("seg_loss", i * 3 + 1).alias("loss")
         )
 
     return formatted.select("*", F.transform(raw, turn).alias("turns"))
@@ -172,7 +182,7 @@ with t as (
 e as (
   select *, lag(role) over (partition by conv_id order by turn nulls first, role, text) as before,
     lead(role) over (partition by conv_id order by turn nulls first, role, text) as after,
-    length(replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#')) + length(role) + 15 as chars
+    length(replace(replace(replace(text, '\', '\\'), '<', '\a'), '#', '\b')) + length(replace(replace(replace(replace(role, '\', '\\'), '<', '\a'), '#', '\b'), ':', '\c')) + 15 as chars
   from t)
 select conv_id, count(*)::BIGINT as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
