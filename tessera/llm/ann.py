@@ -7,14 +7,16 @@ norm, which makes the largest inner product the smallest distance; on unit vecto
   one codebook per slice of the residuals.  Every vector is then indexed.
 * A query probes the lists of the centroids nearest to it until they hold a share of all vectors. The share is
   measured: it is what lets ``REACH`` of the true neighbours of some sampled vectors, within the sample, be seen.
-* Lists are packed into blocks of vectors, a list of any size into as many as it needs, and the queries of
-  a block into groups; each block and group is one task.
+* Lists are packed into blocks of vectors, a list of any size into as many as it needs.  A task holds one block at a
+  time, and the queries that probe it stream past; a vector is sent once, a query to the blocks that it probes.
 * In a block, tables of query times codebook give approximate inner products; the best ``RERANK`` are
   computed from the original vectors in double precision, and the best of all blocks are the result.
+* ``exact=True`` probes every list and ranks every vector by its exact product.
 
 Defined results
 ---------------
 * vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do null ids;
+* an id that several rows hold asks once with each different vector (``query_vector``, a hash, tells the lists apart);
 * a query does not find rows of its own id; rows that repeat an id are candidates of their own;
 * equal scores go to the smaller id; with fewer candidates than wanted, all are returned;
 * an empty table gives an empty result; other columns are ignored.
@@ -30,18 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Stage, key_bits, table
+from tessera.llm.common import Stage, key_bits, spread, table, tidy
 
-#: Bound of the sample; most lists; slices of a vector; vectors that a query looks at, at least.
-SAMPLE = 32_768
-MOST_LISTS = 2_048
+#: Bounds of the sample, in rows and bytes; its rows for a list, at least; slices of a vector; vectors that a query looks at, at least.
+SAMPLE, SAMPLE_BYTES = 32_768, 64 << 20
+ROWS_A_LIST = 16
 SLICES = 16
 LOOK_LEAST = 2_000
 #: Share of true neighbours that probing has to reach, and the sampled queries that measure it.
 REACH, TRIALS = 0.97, 400
 RERANK = 256
-#: Vectors of a block; queries of a group.
-BLOCK, GROUP = 8_192, 2_048
+#: Vectors of a block (more where there are more than tasks can share), and queries that stream past one copy of it.
+BLOCK_LEAST, BLOCK_MOST, GROUP = 4_096, 65_536, 1 << 20
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -137,8 +139,70 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(~bad).where(F.exists("vec", lambda v: v != 0))
 
 
-def search(vectors: DataFrame, query_ids, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest of each vector whose id ``query_ids(column)`` selects."""
+def _best(index: Index, q: np.ndarray, ids: np.ndarray, x: np.ndarray, own: np.ndarray, codes: np.ndarray, rows: np.ndarray, k: int, rerank: int | None):
+    """Ids and exact scores of the k best of ``rows`` of a block, of those that the tables rank among the first ``rerank``."""
+    if rerank is not None and len(rows) > rerank:
+        score = index.approximate(q, own[rows], codes[rows])
+        limit = np.partition(score, len(score) - rerank)[len(score) - rerank]
+        over, level = np.flatnonzero(score > limit), np.flatnonzero(score == limit)
+        rows = rows[np.concatenate([over, level[: rerank - len(over)]])]
+    exact = (x[rows] * q).sum(axis=1)
+    best = np.lexsort((ids[rows], -exact))[:k]
+    return ids[rows][best], exact[best]
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("query_vector", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _compared(index: Index, n_lists: int, k: int, rerank: int | None):
+    """Rows sorted by (task, side): the vectors of a block (side 0), then its queries -> the best of the block for each query."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now, ready = None, None
+        probed = np.zeros(n_lists, bool)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy().astype(np.int64) * 2 + batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                task, side = divmod(int(key[a]), 2)
+                if task != now:
+                    now, held, ready = task, [], None
+                if not side:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if not held and ready is None:
+                    continue
+                if ready is None:
+                    all_ = pa.Table.from_batches(held)
+                    ids, held = all_.column("id").to_numpy(), []
+                    order = np.argsort(ids, kind="stable")
+                    codes = np.frombuffer(b"".join(all_.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
+                    ready = ids[order], _matrix(all_.column("vec"))[order], all_.column("list").to_numpy()[order], codes[order]
+                ids, x, own, codes = ready
+                part = batch.slice(a, b - a)
+                out: list = [[], [], [], []]
+                asked = zip(part.column("id").to_pylist(), part.column("qv").to_pylist(), _matrix(part.column("vec")), part.column("lists").to_pylist(), strict=True)
+                for q_id, qv, q, some in asked:
+                    probed[:] = False
+                    probed[some] = True
+                    found, score = _best(index, q, ids, x, own, codes, np.flatnonzero(probed[own] & (ids != q_id)), k, rerank)
+                    out[0] += [q_id] * len(found)
+                    out[1] += [qv] * len(found)
+                    out[2] += found.tolist()
+                    out[3] += score.tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _FOUND, strict=True)], schema=_FOUND)
+
+    return run
+
+
+def search(
+    vectors: DataFrame, query_ids, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", exact: bool = False
+) -> DataFrame:
+    """query_id, rank, vec_id, score, query_vector: the k nearest of each vector whose id ``query_ids(column)`` selects."""
     spark = vectors.sparkSession
     stage = Stage(spark, "ann")
     rows = valid_vectors(vectors, id_col, vec_col)
@@ -147,14 +211,15 @@ def search(vectors: DataFrame, query_ids, k: int = 20, id_col: str = "vec_id", v
     )
     shape = shape.orderBy(F.desc("n"), "d").first()
     if shape is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, query_vector long")
     width, n = shape["d"], shape["n"]
     rows = rows.where(F.size("vec") == width)
-    sample = rows.orderBy(key_bits(F.col("id")), "id").limit(SAMPLE).select("vec").collect()
-    sample = np.array([r["vec"] for r in sample])
-    lists = max(1, min(MOST_LISTS, int(math.sqrt(n)), len(sample) // 16 + 1))
+    size = max(256, min(SAMPLE, SAMPLE_BYTES // (8 * width)))
+    sample = _matrix(rows.orderBy(key_bits(F.col("id")), "id").limit(size).select("vec").toArrow().column(0))
+    lists = max(1, min(int(math.sqrt(n)), len(sample) // ROWS_A_LIST + 1))
     index = Index(sample, lists, shape["top"])
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -166,17 +231,20 @@ def search(vectors: DataFrame, query_ids, k: int = 20, id_col: str = "vec_id", v
     sizes = np.zeros(len(index.centres), np.int64)
     for r in coded.groupBy("list").count().collect():  # one row per list
         sizes[r["list"]] = r["count"]
-    enough = max(LOOK_LEAST, math.ceil(index.share(sample, k) * n), k + 1)
+    enough = n if exact else max(LOOK_LEAST, math.ceil(index.share(sample, k) * n), k + 1)
     # Blocks of each list: lists share a block until it is full, a larger list has blocks of its own.
-    first, several = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // BLOCK))
+    block_size = min(BLOCK_MOST, max(BLOCK_LEAST, n // (2 * spark.sparkContext.defaultParallelism)))
+    first, several = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // block_size))
     block, held = 0, 0
     for i, size in enumerate(sizes):
-        if held and held + size > BLOCK:
+        if held and held + size > block_size:
             block, held = block + 1, 0
         first[i], held = block, held + size
         if several[i] > 1:
             block, held = block + several[i], 0
+    blocks = int(block) + 1
 
+    @tidy
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -198,51 +266,27 @@ def search(vectors: DataFrame, query_ids, k: int = 20, id_col: str = "vec_id", v
                 cols = [pa.array(blocks_, pa.int32()), picked.column(0), picked.column(1), pa.array(lists_, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["block", "id", "vec", "lists"])
 
-    asked = rows.where(query_ids(F.col("id")))
-    asks = asked.count()
-    parts = max(1, -(-asks // GROUP))
-    probes = asked.mapInArrow(probe, "block int, id long, vec array<double>, lists array<int>")
-    probes = probes.select("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "id", "vec", "lists")
+    asked = stage.keep(rows.where(query_ids(F.col("id"))).dropDuplicates(["id", "vec"]), "asked")
+    parts = max(1, -(-asked.count() // GROUP))
+    probes = spread(asked).mapInArrow(probe, "block int, id long, vec array<double>, lists array<int>")
+    task = lambda b, p: (b * parts + p).cast("int").alias("task")
+    right = probes.select(
+        task(F.col("block"), F.pmod(F.xxhash64("id"), F.lit(parts))), F.lit(1).alias("side"), "id", "vec", F.lit(None).cast("int").alias("list"),
+        F.lit(None).cast("binary").alias("codes"), F.xxhash64("vec").alias("qv"), "lists",
+    )
     of = lambda a: F.element_at(F.lit([int(v) for v in a]), F.col("list") + 1)
-    hold = coded.select(
-        (of(first) + F.pmod(F.xxhash64("id"), of(several))).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-        "list",
-        "id",
-        "codes",
-        "vec",
-    )
-
-    def compare(_key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list = [[], [], []]
-        if left.num_rows and right.num_rows:
-            ids, x = left.column("id").to_numpy(), _matrix(left.column("vec"))
-            by_id = np.argsort(ids, kind="stable")
-            ids, x = ids[by_id], x[by_id]
-            codes = np.frombuffer(b"".join(left.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)[by_id]
-            own = left.column("list").to_numpy()[by_id]
-            probed = np.zeros(len(sizes), bool)
-            for q_id, q, some in zip(right.column("id").to_pylist(), _matrix(right.column("vec")), right.column("lists").to_pylist(), strict=True):
-                probed[:] = False
-                probed[some] = True
-                rows_ = np.flatnonzero(probed[own] & (ids != q_id))
-                score = index.approximate(q, own[rows_], codes[rows_])
-                if len(rows_) > RERANK:
-                    limit = np.partition(score, len(score) - RERANK)[len(score) - RERANK]
-                    over, level = np.flatnonzero(score > limit), np.flatnonzero(score == limit)
-                    rows_ = rows_[np.concatenate([over, level[: RERANK - len(over)]])]
-                exact = (x[rows_] * q).sum(axis=1)
-                best = np.lexsort((ids[rows_], -exact))[:k]
-                out[0] += [q_id] * len(best)
-                out[1] += ids[rows_][best].tolist()
-                out[2] += exact[best].tolist()
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
-
-    keys = ["block", "part"]
-    found = hold.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(compare, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    own = of(first) + F.pmod(F.xxhash64("id", "vec"), of(several))
+    copies = coded.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))) if parts > 1 else coded.withColumn("part", F.lit(0))
+    left = copies.select(
+        task(own, F.col("part")), F.lit(0).alias("side"), "id", "vec", "list", "codes", F.lit(None).cast("long").alias("qv"),
+        F.lit(None).cast("array<int>").alias("lists"),
+    )
+    dealt = left.unionByName(right).repartitionById(blocks * parts, F.col("task")).sortWithinPartitions("task", "side")
+    compare = _compared(index, len(sizes), k, None if exact else RERANK)
+    found = dealt.mapInArrow(compare, "query_id long, query_vector long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "query_vector").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", "vec_id", "score", "query_vector")
 
 
 def query(spark, sf_dir):
