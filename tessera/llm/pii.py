@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import boosting
-from tessera.llm.common import table
+from tessera.llm.common import spread, table
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -42,7 +42,7 @@ BASE = {
 }
 # Proposals beyond the base.
 MORE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}| at |@) ?[a-z0-9-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)|\{dot\}) ?| dot |\.)[a-z0-9-]{1,63}){1,4}",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:\[at\]|\(at\)|\{at\}| at |@) ?[a-z0-9-]++(?:(?: ?(?:\[dot\]|\(dot\)|\{dot\}) ?| dot |\.)[a-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)) ?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ ._/-]{1,3}[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+])(?:00 ?[0-9]{1,3}[ .-])?\(?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{3,4}[ ./-]?[0-9]{3,4}(?![0-9])",
@@ -60,6 +60,8 @@ CUES = {
 AGAINST = "version|release|isbn|issn|order|invoice|serial|page|pages|ref|figure|table|score|ratio|year|date|section|step|#|\\$|€"
 
 LEFT, RIGHT = 28, 12
+#: Spans of a run.
+CHUNK = 128
 #: Written examples; precision that a threshold has to reach on those kept for it.
 EXAMPLES = 6_000
 PRECISION = 0.98
@@ -69,21 +71,62 @@ FIELDS = (
 ).split()
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def chunked(items: Column) -> Column:
+    """items in runs of CHUNK.  Lists grow inside a run only, so the work is not quadratic in the matches of a text."""
+    last = F.floor((F.size(items) - 1) / CHUNK).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
+
+
 def spans(text: Column, pattern: str, needs: str) -> Column:
     """array<struct<s, e, v>> of the non-overlapping matches of pattern, leftmost first."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string>>").alias("out"))
+    none = F.array().cast("array<struct<s:int,e:int,v:string>>")
+    pairs = F.zip_with(
+        F.split(text, pattern, -1),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), v.alias("v")),
+    )
+    pairs = F.filter(pairs, lambda x: x["v"].isNotNull())  # behind the last match stands a gap alone
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["v"])
+    def place(acc: Column, x: Column) -> Column:
+        s = acc["at"] + x["gap"]
+        e = s + x["n"]
         here = F.array(F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))
         return F.struct(e.alias("at"), F.concat(acc["out"], here).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("v")))
-    none = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    return F.when(text.rlike(needs), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(none)
+    def starts(runs: Column) -> Column:
+        step = lambda acc, run: F.struct(
+            (acc["at"] + F.aggregate(run, F.lit(0), lambda n, x: n + x["gap"] + x["n"])).alias("at"),
+            F.concat(acc["out"], F.array(acc["at"])).alias("out"),
+        )
+        return F.aggregate(runs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step, lambda acc: acc["out"])
+
+    def placed(runs: Column) -> Column:
+        each = lambda run, at: F.aggregate(run, F.struct(at.alias("at"), none.alias("out")), place, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(runs, starts(runs), each))
+
+    return F.when(text.rlike(needs), let(pairs, lambda x: let(chunked(x), placed))).otherwise(none)
+
+
+def indexed(items: Column) -> Column:
+    """Spans of all kinds as runs with their bounds; spans of one kind are in order and do not overlap."""
+    own = lambda i: let(F.filter(items, lambda c: c["k"] == i), chunked)
+    runs = F.filter(F.concat(*(own(i) for i in range(len(KINDS)))), lambda r: F.size(r) > 0)
+    return F.transform(runs, lambda r: F.struct(F.get(r, F.lit(0))["s"].alias("lo"), F.element_at(r, -1)["e"].alias("hi"), r.alias("items")))
+
+
+def meets(index: str, c: Column, more=None) -> Column:
+    """Whether a span of the index overlaps c (and fulfils ``more``)."""
+
+    def hit(o: Column) -> Column:
+        over = (o["s"] < c["e"]) & (c["s"] < o["e"])
+        return over if more is None else over & more(o)
+
+    return F.exists(index, lambda r: (r["lo"] < c["e"]) & (c["s"] < r["hi"]) & F.exists(r["items"], hit))
 
 
 def _digits(v: Column) -> Column:
@@ -238,13 +281,14 @@ def fitted(spark: SparkSession) -> tuple[boosting.Forest, dict[str, float]]:
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, text, base and all_spans: arrays of struct<k (index in KINDS), s, e> in order of kind and start."""
     forest, least = fitted(docs.sparkSession)
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = spread(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     text = F.col("text")
     kept = "array<struct<k:int,s:int,e:int>>"
     tag = lambda k, found: F.transform(found, lambda c: F.struct(F.lit(k).alias("k"), c["s"].alias("s"), c["e"].alias("e")))
     checked = lambda k: lambda c: holds(k, c["v"])
     base = [tag(i, F.filter(spans(text, BASE[k], NEEDS[k]), checked(k))) for i, k in enumerate(KINDS)]
     rows = rows.select("*", F.concat(*base).cast(kept).alias("base"))
+    rows = rows.select("*", indexed(F.col("base")).alias("base_index"))
     proposed = []
     for i, k in enumerate(KINDS):
         margin = forest.margin_for(least[k])
@@ -254,12 +298,11 @@ def find(docs: DataFrame) -> DataFrame:
     if not proposed:
         return rows.select("*", F.col("base").alias("all_spans"))
     rows = rows.select("*", F.concat(*proposed).alias("more"))
-    beaten = lambda c: F.exists(
-        "more",
-        lambda o: (o["s"] < c["e"])
-        & (c["s"] < o["e"])
-        & ((o["m"] > c["m"]) | ((o["m"] == c["m"]) & ((o["k"] < c["k"]) | ((o["k"] == c["k"]) & (o["s"] < c["s"]))))),
+    rows = rows.select("*", indexed(F.col("more")).alias("more_index"))
+    better = lambda c: lambda o: (
+        (o["m"] > c["m"]) | ((o["m"] == c["m"]) & ((o["k"] < c["k"]) | ((o["k"] == c["k"]) & (o["s"] < c["s"]))))
     )
+    beaten = lambda c: meets("more_index", c, better(c))
     chosen = F.transform(
         F.filter("more", lambda c: ~beaten(c)), lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e"))
     )
@@ -270,7 +313,7 @@ def _scored(forest: boosting.Forest, margin: float, text: Column, number: int, k
     """Proposals of a kind that no base span overlaps and whose margin reaches the threshold."""
     free = F.filter(
         spans(text, MORE[kind], NEEDS_MORE[kind]),
-        lambda c: ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])),
+        lambda c: ~meets("base_index", c),
     )
     made = F.transform(free, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), features(kind, text, c).alias("x")))
     scored = F.transform(
