@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import KEY_BITS_SQL, Stage, key_bits, table
 
 BITS = 60
-#: Production size of a shard, in bytes of UTF-8 text.
+#: Production size of a shard, in bytes of UTF-8 text, and the size that the query asks for, which small tables exceed, too.
 LIMIT = 64 << 20
+QUERY_LIMIT = 1 << 18
 #: Bits by which each further round refines what is still over the limit.
 STEP = 8
 
@@ -95,18 +96,18 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
 
 
 def query(spark, sf_dir):
-    return assign_shards(table(spark, sf_dir, "documents"))
+    return assign_shards(table(spark, sf_dir, "documents"), QUERY_LIMIT)
 
 
 SQL = f"""
 with h as (
   select doc_id, {KEY_BITS_SQL.format("doc_id")} as h, strlen(coalesce(text, ''))::BIGINT as bytes from documents),
-up as (select doc_id, bytes, h, d, h >> ({BITS} - d) as p from h, range(0, 41) r(d)),
+up as (select doc_id, bytes, h, d, h >> ({BITS} - d) as p from h, range(0, 61) r(d)),
 sums as (select d, p, sum(bytes)::BIGINT as sb, min(h) = max(h) as one from up group by d, p),
 leaf as (
   select u.doc_id, u.bytes, u.h, min(u.d) as depth, arg_min(s.sb, u.d) as sb
-  from up u join sums s using (d, p) where s.sb <= {LIMIT} or s.one group by all)
+  from up u join sums s using (d, p) where s.sb <= {QUERY_LIMIT} or s.one group by all)
 select doc_id, substr(lpad(bin(h), {BITS}, '0'), 1, depth::INT) as shard, depth::INT as depth, bytes,
-  sb as shard_bytes, sb > {LIMIT} as oversize
+  sb as shard_bytes, sb > {QUERY_LIMIT} as oversize
 from leaf
 """
