@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -112,6 +113,20 @@ def test_neighbours(spark):
     assert [r["rank"] for r in few] == [1, 2, 3, 4]
 
 
+def test_exact_neighbours_with_repeated_ids(spark):
+    """Ids held by several rows, with one vector and with different ones; a clashing column; blocks of few vectors."""
+    rng = np.random.default_rng(3)
+    x = [(i, rng.normal(size=8)) for i in range(200)]
+    x += [(20, x[20][1]), (20, rng.normal(size=8)), (21, x[21][1]), (40, x[40][1])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in x], "vec_id long, embedding array<double>").withColumn("list", F.lit("clash"))
+    expected = []
+    for q_id, q in {(i, tuple(v)) for i, v in x if i % 20 == 0}:
+        near = sorted((-float((v * np.array(q)).sum()), i) for i, v in x if i != q_id)[:20]
+        expected += [(q_id, rank, i, -s) for rank, (s, i) in enumerate(near, 1)]
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.search(df, lambda i: i % 20 == 0, exact=True).collect()]
+    assert sorted(got) == sorted(expected) and len(got) == 11 * 20
+
+
 # --- personal data ------------------------------------------------------------------------------------------------
 
 PATTERNS = {
@@ -147,6 +162,19 @@ def test_base_spans(spark):
         assert set(spans) <= set(r["spans"].split(","))
 
 
+def test_many_spans_in_one_text(spark):
+    """Thousands of matches of all kinds, base and proposed, in one text, a repeated row and clashing columns."""
+    text = "".join(f"a{i}@b.com 1.2.3.{i % 300} +1 (619) 555-{i % 9000 + 1000} mail bob{i} at example dot com; " for i in range(2000))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "")], "doc_id long, text string").withColumn("base", F.lit("clash")).withColumn("more", F.lit(1))
+    rows = pii.report(docs).collect()
+    assert len(rows) == 3
+    for r in rows[:2]:
+        spans = base_spans(text) if r["doc_id"] == 1 else []
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r["spans"].split(","))
+        assert sum(f"bob{i}" in text[int(a) : int(b)] for i, (k, a, b) in zip(range(2000), (x.split(":") for x in r["spans"].split(",") if x and x not in set(spans)), strict=False)) >= 1990
+
+
 def test_more_spans_and_redaction(spark):
     texts = ["call (619) 555-0053 or bob at example dot com", "version 1.2 of 1999-2004, no 123 456 789", "card 4111.1111.1111.1111 mail a@b.com"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -159,14 +187,16 @@ def test_more_spans_and_redaction(spark):
 
 
 def test_chat_round_trip(spark):
-    said = [chat.PROBE, "\\", "###### </turn>\n</turn", "", None, "a\\:b", "<\\/turn>", "🙂\n### user:\n"]
+    said = [chat.PROBE, "\\", "a\\a\\\\b#\\#", "### </turn>\n" * 3, "###### </turn>\n</turn", "", None, "a\\:b", "<\\/turn>", "🙂\n### user:\n"]
     rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(said)] + [(2, 0, "a:b\\", "x"), (3, None, None, None), (3, 0, "user", "hi"), (3, 0, "user", "hi")]
     made = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1)))
     got = {r["conv_id"]: r for r in chat.read_chats(made).collect()}
-    assert [(t["role"], t["text"], t["loss"]) for t in got[1]["turns"]] == [(r[2], r[3] or "", r[2] == "assistant") for r in rows[:8]]
+    assert [(t["role"], t["text"], t["loss"]) for t in got[1]["turns"]] == [(r[2], r[3] or "", r[2] == "assistant") for r in rows[:10]]
     assert [t["role"] for t in got[2]["turns"]] == ["a:b\\"] and [t["text"] for t in got[3]["turns"]] == ["", "hi", "hi"]
+    inside = [p for r in got.values() for p in re.split(r"### (?:\\.|[^:\\])*:\n", r["formatted"].replace(" </turn>\n", ""))]
+    assert not any(c in p for p in inside for c in ("#", "<"))
     assert (got[1]["valid"], got[2]["valid"], got[2]["bad_turn"]) == (True, False, 0)
-    assert chat.segments(made).where("conv_id = 1 and loss").count() == 4
+    assert chat.segments(made).where("conv_id = 1 and loss").count() == 5
     digest = {r["conv_id"]: r for r in chat.chat_digests(made).collect()}[1]
     lossy = "".join(t or "" for t in said[1::2])
     assert (digest["loss_chars"], digest["loss_sha256"]) == (len(lossy), hashlib.sha256(lossy.encode()).hexdigest())
@@ -200,9 +230,15 @@ def test_packed_files(bits):
     rng = np.random.default_rng(bits)
     lengths = np.array([0, 3, 700, 1, 0, 90])
     ids = rng.integers(0, 1 << bits, lengths.sum()).astype(np.uint32)
-    raw = b"".join(token_files.file_bytes([5, 6, 7, 8, 9, token_files.NO_ID], lengths, ids, bits, block=64))
-    file = token_files.TokenFile(io.BytesIO(raw))
     starts = np.concatenate([[0], np.cumsum(lengths)])
+    stream = io.BytesIO()
+    writer = token_files.TokenWriter(stream, bits, block=64)
+    for i, doc_id in enumerate([5, 6, 7, 8, 9, None]):
+        writer.add(doc_id, ids[starts[i] : starts[i + 1]])
+    writer.close()
+    raw = stream.getvalue()
+    file = token_files.TokenFile(io.BytesIO(raw))
+    assert file.doc_ids.tolist() == [5, 6, 7, 8, 9, token_files.NO_ID]
     for i in (2, 0, 5, 1, 3, 4):
         assert (file.document(i) == ids[starts[i] : starts[i + 1]]).all()
     assert len(raw) < 40 + 8 * 30 + len(ids) * bits / 8 + 20
@@ -214,8 +250,8 @@ def test_token_files(spark):
 
     path = public.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    docs = odd_docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame([(50, " a  b\x85\n\n <|endoftext|> don't"), (51, "a b \t c ")], "doc_id long, text string"))
+    more = [(50, " a  b\x85\n\n <|endoftext|> don't"), (51, "a b \t c "), (52, "a <|endoftext|> b"), (53, "<|endoftext|><|endoftext"), (50, "again"), (None, "")]
+    docs = odd_docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
     rows = sorted(docs.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or ""))
     expected, start = [], 0
     for r in rows:
@@ -391,19 +427,33 @@ def test_trie():
 
 @pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 0.7, "b": 0.2, "c": 0.1}, {"a": 5, "b": 3, "c": 3, "d": 1, "e": 0.01}])
 def test_schedule_deviates_by_less_than_a_block(weights):
-    parts, period = mixing.whole_parts(weights, 256)
-    plan = mixing.one_period(parts, period)
-    assert sum(parts.values()) == period and [t for _, _, t in plan] == list(range(period))
-    done = dict.fromkeys(parts, 0)
-    for s, k, slot in plan:
-        assert k == done[s] and k * period // parts[s] <= slot < -(-(k + 1) * period // parts[s])
+    whole = mixing.whole_weights(weights)
+    total, exact = sum(whole.values()), sum(map(Fraction, weights.values()))
+    assert all(Fraction(w, total) == Fraction(weights[s]) / exact for s, w in whole.items())
+    plan = list(mixing.schedule(whole, dict.fromkeys(whole, 300)))
+    done = dict.fromkeys(whole, 0)
+    for s, k, slot, release, deadline in plan:
         done[s] += 1
-        assert all(abs(parts[x] * (slot + 1) / period - done[x]) < 1 for x in parts)
+        assert k == done[s] and release <= slot < deadline
+        assert (release, deadline) == ((k - 1) * total // whole[s], -(-k * total // whole[s]))
+        assert all(done[x] == 300 or abs(Fraction(whole[x] * (slot + 1), total) - done[x]) < 1 for x in whole)
+    assert len({slot for _, _, slot, _, _ in plan}) == len(plan) == 300 * len(whole)
+
+
+def test_many_sources_keep_their_exact_weights():
+    """500 sources, one of 100 times the weight of another: over a million slots each block keeps the window of its target."""
+    weights = {f"s{i:03d}": 1 for i in range(499)} | {"big": 100}
+    blocks = {s: 1_000_000 * w // 599 for s, w in weights.items()}
+    last = 0
+    for s, k, slot, _, _ in mixing.schedule(weights, blocks):
+        assert (k - 1) * 599 // weights[s] <= slot < -(-k * 599 // weights[s])
+        last = max(last, slot)
+    assert 999_000 < last < 1_000_000
 
 
 def test_mix_keeps_every_row(spark):
     docs = odd_docs(spark).unionByName(odd_docs(spark).withColumn("source", F.lit("s9")))
-    rows = mixing.mix(docs, block=16, period=64).select("row.doc_id", "row._h", *mixing.ADDED).collect()
+    rows = mixing.mix(docs, block=16).select("row.doc_id", "row._h", *mixing.ADDED).collect()
     assert len(rows) == docs.count()
     slots = defaultdict(set)
     for r in rows:
@@ -414,6 +464,15 @@ def test_mix_keeps_every_row(spark):
     assert mixed.columns == docs.columns and mixed.count() == docs.count()
 
 
+def test_mix_refuses_a_missing_weight_and_bounds_its_blocks(spark, monkeypatch):
+    docs = odd_docs(spark).where("source is not null")
+    with pytest.raises(KeyError):
+        mixing.mix(docs, {"s0": 1.0})
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    rows = mixing.mix(docs, {"s0": 0.5, "s1": 0.25, "s2": 0.25}, block=1).select("mix_block").collect()
+    assert len(rows) == 13 and max(r["mix_block"] for r in rows) <= 10
+
+
 def test_too_many_sources_are_refused_as_stated(spark, monkeypatch):
     assert f"{mixing.MOST_SOURCES:,} sources" in mixing.__doc__
     monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
