@@ -42,9 +42,9 @@ def unknown_ids(pairs: DataFrame, records: DataFrame) -> DataFrame:
     return ids.join(records.select("entity_id"), "entity_id", "left_anti")
 
 
-def set_features(pairs: DataFrame, ents: DataFrame) -> DataFrame:
-    """The features of the batch set that need no UDF."""
-    rows = normalized(ents).select(
+def set_features(pairs: DataFrame, ents: DataFrame, ready: bool = False) -> DataFrame:
+    """The features of the batch set that need no UDF; ``ready`` records are normalised already."""
+    rows = (ents if ready else normalized(ents)).select(
         "entity_id", "name", "address", "business_name",
         F.array_distinct(X.words(F.col("name"))).alias("nt"),
         F.array_distinct(X.words(F.col("address"))).alias("at"),

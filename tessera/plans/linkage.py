@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def norm_addr_v1(spark, sf):
 
 @register(f"with {Q.NORM_SQL} select entity_id, replace(name, ' ', '') as despaced from norm")
 def despace(spark, sf):
-    return block.normalized(S.entities(spark, sf)).select("entity_id", X.despace(F.col("name")).alias("despaced"))
+    return _norm(spark, sf).select("entity_id", X.despace(F.col("name")).alias("despaced"))
 
 
 def _listed(column):
@@ -86,14 +88,14 @@ def postal_eda(spark, sf):
 @register(f"with {Q.NORM_SQL} select entity_id, len({Q.grams('name')})::BIGINT as n, md5(array_to_string(list_sort({Q.grams('name')}), '|')) as digest from norm")
 def char_ngrams(spark, sf):
     grams = X.char_ngrams(F.col("name"))
-    rows = block.normalized(S.entities(spark, sf)).select("entity_id", grams.alias("g"))
+    rows = _norm(spark, sf).select("entity_id", grams.alias("g"))
     return rows.select("entity_id", F.size("g").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("g"), "|")).alias("digest"))
 
 
 @register(f"""with {Q.NORM_SQL}, g as (select entity_id, n, greatest(length(name) - n + 1, 0) as k, name from norm, (values (3), (4), (5)) v(n))
 select entity_id, sum(k)::BIGINT as n_grams, sum(len(list_distinct(list_transform(range(1, k + 1), lambda i: substr(name, i, n)))))::BIGINT as n_distinct from g group by entity_id""")
 def char_ngram_bag(spark, sf):
-    rows = block.normalized(S.entities(spark, sf)).select("entity_id", X.char_ngram_bag(F.col("name")).alias("g"))
+    rows = _norm(spark, sf).select("entity_id", X.char_ngram_bag(F.col("name")).alias("g"))
     return rows.select("entity_id", F.size("g").cast("long").alias("n_grams"), F.size(F.array_distinct("g")).cast("long").alias("n_distinct"))
 
 
@@ -122,7 +124,7 @@ def source_tag(spark, sf):
 
 @register(f"with {Q.BLOCK_SQL} select country, pool, channel, token, df, round(idf, 6) as idf from vocab")
 def tfidf_index_word(spark, sf):
-    norm = block.normalized(S.entities(spark, sf))
+    norm = _norm(spark, sf)
     pool = norm.where(X.source_tag(F.col("entity_id")) != "S1")
     return _r(block.vocabulary(block.tokens(pool, ("name", "address")), pool), "idf")
 
@@ -138,7 +140,7 @@ pools as (select country, source as pool, count(*) as n from norm where source <
 d as (select country, pool, token, count(*) as df from g group by all)
 select country, pool, 'name' as channel, token, df, round(ln((1 + n) / (1 + df)) + 1, 6) as idf from d join pools using (country, pool) where df >= 2""")
 def tfidf_index_char(spark, sf):
-    norm = block.normalized(S.entities(spark, sf))
+    norm = _norm(spark, sf)
     pool = norm.where(X.source_tag(F.col("entity_id")) != "S1")
     return _r(block.vocabulary(block.tokens(pool, ("name",), X.char_ngram_bag), pool, _CHAR), "idf")
 
@@ -147,7 +149,7 @@ def _block(channel: str):
     how = block.Blocking(channels=(channel,))
 
     def query(spark, sf):
-        rows = block.ranked(block.similarities(block.normalized(S.entities(spark, sf)), how), how)
+        rows = block.ranked(block.similarities(_norm(spark, sf), how), how)
         return _r(rows.withColumn(f"rank_{channel}", F.col(f"rank_{channel}").cast("int")), f"sim_{channel}")
 
     query.__name__ = f"block_{channel}"
@@ -157,8 +159,14 @@ def _block(channel: str):
 block_name, block_address, block_combo = _block("name"), _block("address"), _block("combo")
 
 
+def _norm(spark, sf) -> DataFrame:
+    """The normalised records, worked out once a session."""
+    return S.cached(spark, "norm", lambda: block.normalized(S.entities(spark, sf)), S.stamp(spark, f"{sf}/documents.parquet"))
+
+
 def _candidates(spark, sf) -> DataFrame:
-    return block.candidates(block.normalized(S.entities(spark, sf)))
+    """The candidate table with default settings, worked out once a session."""
+    return S.cached(spark, "candidates", lambda: block.candidates(_norm(spark, sf)), S.stamp(spark, f"{sf}/documents.parquet"), block.DEFAULT)
 
 
 @register(f"with {Q.BLOCK_SQL} select source1_entity_id, candidate_entity_id from cand")
@@ -197,17 +205,17 @@ near as (select a.entity_id as s1, b.entity_id as cand from placed a join placed
 # The older names differ from the current ones, but every part of this query takes any normalised names.
 @register(f"{_KNN_SQL} select s1, cand, round(sim, 6) as sim from knn")
 def block_knn_char_v1(spark, sf):
-    return _r(block.ngram_neighbours(block.normalized(S.entities(spark, sf))), "sim")
+    return _r(block.ngram_neighbours(_norm(spark, sf)), "sim")
 
 
 @register(f"with {Q.NORM_SQL}, {_SORTED_SQL} select s1, cand from near")
 def block_sorted_neighborhood(spark, sf):
-    return block.sorted_neighbours(block.normalized(S.entities(spark, sf)))
+    return block.sorted_neighbours(_norm(spark, sf))
 
 
 @register(f"{_KNN_SQL}, {_SORTED_SQL} select s1, cand from knn union select s1, cand from near")
 def block_v1_union(spark, sf):
-    return block.older_candidates(block.normalized(S.entities(spark, sf)))
+    return block.older_candidates(_norm(spark, sf))
 
 
 @register(f"""{ENT}, p as (select entity_id, country, split_part(entity_id, '-', 1) as source, {_POSTAL_SQL} as postal from ent),
@@ -238,7 +246,7 @@ from base cross join ch cross join grid left join got using (country, pool, chan
 @register(_RECALL_SQL)
 def recall_at_k(spark, sf):
     ents = S.entities(spark, sf)
-    sims = block.similarities(block.normalized(ents))
+    sims = block.similarities(_norm(spark, sf))
     return _r(block.recall_at(sims, S.truth(ents), ents, ("name", "address")), "recall_pct", "avg_cand_size")
 
 
@@ -249,7 +257,7 @@ _SET = ("n_jaccard", "a_jaccard", "digit_jaccard", "digit_any", "n_exact", "a_bo
 
 @register(f"with {Q.SCORED_SQL} select source1_entity_id, candidate_entity_id, {', '.join(f'round({c}, 6) as {c}' for c in _SET)} from feat")
 def feat_flags(spark, sf):
-    rows = features.set_features(_candidates(spark, sf), S.entities(spark, sf))
+    rows = features.set_features(_candidates(spark, sf), _norm(spark, sf), ready=True)
     return _r(rows.select(*features.IDS, *_SET), *_SET)
 
 
@@ -259,7 +267,7 @@ select source1_entity_id, candidate_entity_id, round({Q.jaccard("l.nt", "r.nt",
 from cand join rec l on l.entity_id = source1_entity_id join rec r on r.entity_id = candidate_entity_id""")
 def feat_jaccard(spark, sf):
     ents = S.entities(spark, sf)
-    rows = block.normalized(ents).select(
+    rows = _norm(spark, sf).select(
         "entity_id",
         F.array_distinct(X.words(F.col("name"))).alias("nt"),
         F.array_distinct(X.words(F.col("address"))).alias("at"),
@@ -282,7 +290,7 @@ w as (select s, c, sum(x * y) as dot, sqrt(sum((x * case when x * y > 0 then 1.0
 select source1_entity_id, candidate_entity_id, round(coalesce(case when nx * ny > 0 then dot / (nx * ny) end, 0.0), 6) as name_tfidf_cosine
 from cand left join w on s = source1_entity_id and c = candidate_entity_id""")
 def feat_tfidf_pair(spark, sf):
-    rows = block.normalized(S.entities(spark, sf)).select("entity_id", "name")
+    rows = _norm(spark, sf).select("entity_id", "name")
     both = features.looked_up(_candidates(spark, sf).select(*features.IDS), rows)
     e = M.edit_similarity([("cosine", "cosine", F.col("l_name"), F.col("r_name"))])
     return both.withColumn("e", e).select(*features.IDS, F.round("e.cosine", 6).alias("name_tfidf_cosine"))
@@ -292,7 +300,7 @@ def _edit(measure: str):
     rounded = F.round(F.col("e.value"), 6).alias(f"n_{measure}")
 
     def query(spark, sf):
-        rows = block.normalized(S.entities(spark, sf)).select("entity_id", "name")
+        rows = _norm(spark, sf).select("entity_id", "name")
         both = features.looked_up(_candidates(spark, sf).select(*features.IDS), rows)
         value = M.edit_similarity([("value", measure, F.col("l_name"), F.col("r_name"))])
         return both.withColumn("e", value).select(*features.IDS, rounded)
@@ -321,6 +329,52 @@ for _q in (feat_indel, feat_token_sort, feat_token_set, feat_partial):
     register(None)(_q)
 
 
+def _literal_pairs(spark) -> DataFrame:
+    """Each written S1 record with each written noisy one."""
+    ids = [r[0] for r in S.LITERALS]
+    pairs = [(a, b) for a in ids for b in ids if a.startswith("S1") and not b.startswith("S1")]
+    rows = F.array(*(F.struct(F.lit(a).alias(features.IDS[0]), F.lit(b).alias(features.IDS[1])) for a, b in pairs))
+    return spark.range(1).select(F.inline(rows))
+
+
+_EDITS = (
+    "n_ratio n_token_sort n_token_set n_partial n_despace a_ratio a_token_sort a_token_set n_jaccard a_jaccard digit_jaccard digit_any n_exact "
+    "a_both_present n_len_ratio nonlatin_name is_source3"
+).split()
+_FLAGS = "postal_both_present postal_match name_substring_in_address country_match".split()
+_POSTAL_V2 = rf"""case when country = 'India' then ''
+  when regexp_matches(trim(business_address), '(^|{Q.NOT_WORD})[0-9]{{5}}(-[0-9]{{4}})?$') then regexp_extract(trim(business_address), '[0-9]{{5}}(-[0-9]{{4}})?$')
+  when country = 'France' then regexp_extract(business_address, '(?:^|{Q.NOT_WORD})([0-9]{{5}})\s+[A-Za-z]', 1) else '' end"""
+_LITERAL_SQL = f"""with {Q.NORM_SQL},
+lit as materialized (select *, {_POSTAL_V2} as postal, list_distinct({Q.words("name")}) as nt, list_distinct({Q.words("address")}) as at,
+  list_distinct(regexp_extract_all(business_address, '[0-9]+')) as dr from norm where substr(entity_id, 3, 2) = '-L'),
+lp as materialized (select l.entity_id as s, r.entity_id as c, l.name as ln, r.name as rn, l.address as la, r.address as ra from lit l join lit r on l.source = 'S1' and r.source <> 'S1'),
+texts2 as materialized (select 'n' || s || c as k, ln as a, rn as b from lp union all select 'd' || s || c, replace(ln, ' ', ''), replace(rn, ' ', '') from lp
+  union all select 'a' || s || c, la, ra from lp),
+{Q.edit_measures("texts2")}"""
+
+
+@register(rf"""{_LITERAL_SQL}
+select s as source1_entity_id, c as candidate_entity_id, round(n.ratio, 6) as n_ratio, round(n.token_sort, 6) as n_token_sort, round(n.token_set, 6) as n_token_set,
+  round(n.partial, 6) as n_partial, round(d.ratio, 6) as n_despace, round(a.ratio, 6) as a_ratio, round(a.token_sort, 6) as a_token_sort, round(a.token_set, 6) as a_token_set,
+  round({Q.jaccard("l.nt", "r.nt", 0.0)}, 6) as n_jaccard, round({Q.jaccard("l.at", "r.at", 0.0)}, 6) as a_jaccard, round({Q.jaccard("l.dr", "r.dr", 0.0)}, 6) as digit_jaccard,
+  (len(list_intersect(l.dr, r.dr)) > 0)::INT::DOUBLE as digit_any, (l.name = r.name and l.name <> '')::INT::DOUBLE as n_exact,
+  (l.address <> '' and r.address <> '')::INT::DOUBLE as a_both_present,
+  round(case when l.name <> '' and r.name <> '' then least(length(l.name), length(r.name)) / greatest(length(l.name), length(r.name)) else 0.0 end, 6) as n_len_ratio,
+  (len(list_filter(regexp_extract_all(r.business_name, '\p{{L}}'), lambda x: unicode(x) >= 2304)) > 0)::INT::DOUBLE as nonlatin_name, (c like 'S3%')::INT::DOUBLE as is_source3,
+  (l.postal <> '' and r.postal <> '')::INT::DOUBLE as postal_both_present, (l.postal <> '' and l.postal = r.postal)::INT::DOUBLE as postal_match,
+  (l.name <> '' and contains(r.address, l.name))::INT::DOUBLE as name_substring_in_address, (lower(trim(l.country)) = lower(trim(r.country)) and l.country <> '')::INT::DOUBLE as country_match
+from lp join lit l on l.entity_id = s join lit r on r.entity_id = c
+  join edits n on n.k = 'n' || s || c join edits d on d.k = 'd' || s || c join edits a on a.k = 'a' || s || c""")
+def feat_literals(spark, sf):
+    """All string features of the written records, edit measures among them, which SQL can work out on short texts."""
+    ents = S.literal_records(spark)
+    sims = {c: F.lit(0.0) for c in features.BLOCKING}
+    batch = features.batch_features(_literal_pairs(spark).withColumns(sims), ents).select(*features.IDS, *_EDITS)
+    pair = features.pair_features(_literal_pairs(spark), ents).select(*features.IDS, *_FLAGS)
+    return _r(batch.join(pair, features.IDS), *_EDITS)
+
+
 @register(None)
 def feat_full_v2(spark, sf):
     return features.batch_features(_candidates(spark, sf), S.entities(spark, sf))
@@ -343,7 +397,7 @@ def label_pairs(spark, sf):
 
 @register(f"with {Q.BLOCK_SQL} select entity_id, name from norm where entity_id in (select source1_entity_id from cand union select candidate_entity_id from cand)")
 def scope_semi(spark, sf):
-    norm = block.normalized(S.entities(spark, sf))
+    norm = _norm(spark, sf)
     used = block.candidates(norm).select(F.explode(F.array(*features.IDS)).alias("entity_id")).distinct()
     return norm.select("entity_id", "name").join(used, "entity_id", "left_semi")
 
@@ -383,7 +437,7 @@ LIMIT = 0.45
 
 
 def _scored(spark, sf) -> DataFrame:
-    rows = features.set_features(_candidates(spark, sf), S.entities(spark, sf))
+    rows = features.set_features(_candidates(spark, sf), _norm(spark, sf), ready=True)
     return rows.select(*features.IDS, assign.linear_score().alias("score"))
 
 
@@ -473,7 +527,7 @@ from miss join r l on l.entity_id = s join r x on x.entity_id = c""")
 def miss_diagnosis(spark, sf):
     ents = S.entities(spark, sf)
     lost = assign.missed(_candidates(spark, sf), S.truth(ents))
-    rows = block.normalized(ents).select("entity_id", X.words(F.col("name")).alias("nt"), X.words(F.col("address")).alias("at"))
+    rows = _norm(spark, sf).select("entity_id", X.words(F.col("name")).alias("nt"), X.words(F.col("address")).alias("at"))
     both = features.looked_up(lost, rows)
     name, address = F.arrays_overlap("l_nt", "r_nt"), F.arrays_overlap("l_at", "r_at")
     return both.agg(
@@ -491,7 +545,7 @@ FREE = ["sim_name", "sim_address", "rank_name", "rank_address", "sim_best", "can
 
 def _training(spark, sf) -> DataFrame:
     ents = S.entities(spark, sf)
-    rows = features.labelled(features.set_features(_candidates(spark, sf), ents).select(*features.IDS, *FREE), S.truth(ents))
+    rows = features.labelled(features.set_features(_candidates(spark, sf), _norm(spark, sf), ready=True).select(*features.IDS, *FREE), S.truth(ents))
     folds = assign.fold(S.of_source(ents, "S1").select("entity_id"), 0.25).withColumnRenamed("entity_id", "source1_entity_id")
     return rows.join(folds, "source1_entity_id")
 
@@ -517,12 +571,9 @@ def gbt_importance(spark, sf):
 @register(f"""{ENT}, {S.TRUTH_SQL} select source1_entity_id, coalesce(string_agg(matched_entity_id, ',' order by matched_entity_id), '') as matched_entity_ids from gt group by all""")
 def tsv_roundtrip(spark, sf):
     """Writes the ground truth as a list table into the shared folder, reads it back and parses it."""
-    import uuid
-
     truth = S.truth(S.entities(spark, sf))
     lists = truth.groupBy("source1_entity_id").agg(F.array_sort(F.collect_list("matched_entity_id")).alias("matched_entity_ids"))
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/tessera"
-    path = f"{root.rstrip('/')}/tsv-{uuid.uuid4().hex}"
+    path = f"{S.shared_dir(spark)}/tsv-{uuid.uuid4().hex}"
     S.write_matching_results(lists, path)
     back = S.read_ground_truth(spark, path)
     pairs = S.truth_pairs(back).groupBy("source1_entity_id").agg(F.array_sort(F.collect_list("matched_entity_id")).alias("matched_entity_ids"))

@@ -159,7 +159,7 @@ feat as materialized (
     {jaccard("l.dr", "r.dr", 0.0)} as digit_jaccard, (len(list_intersect(l.dr, r.dr)) > 0)::INT::DOUBLE as digit_any,
     (l.name = r.name and l.name <> '')::INT::DOUBLE as n_exact, (l.address <> '' and r.address <> '')::INT::DOUBLE as a_both_present,
     case when l.name <> '' and r.name <> '' then least(length(l.name), length(r.name)) / greatest(length(l.name), length(r.name)) else 0.0 end as n_len_ratio,
-    0.0::DOUBLE as nonlatin_name, (candidate_entity_id like 'S3%')::INT::DOUBLE as is_source3
+    (len(list_filter(regexp_extract_all(r.business_name, '\\p{{L}}'), lambda x: unicode(x) >= 2304)) > 0)::INT::DOUBLE as nonlatin_name, (candidate_entity_id like 'S3%')::INT::DOUBLE as is_source3
   from cand c join rec l on l.entity_id = source1_entity_id join rec r on r.entity_id = candidate_entity_id),
 scored as materialized (
   select source1_entity_id, candidate_entity_id,
@@ -167,3 +167,40 @@ scored as materialized (
 owned as materialized (
   select * from scored
   qualify row_number() over (partition by candidate_entity_id order by round(score, 9) desc, source1_entity_id) = 1)"""
+
+
+def lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of texts of at most 125 characters, by bit-parallel rows in one HUGEINT."""
+    mask = f"list_sum(list_transform(range(1, length({a}) + 1), lambda i: case when substr({a}, i, 1) = x then 1::HUGEINT << (i - 1)::HUGEINT else 0::HUGEINT end))"
+    masks = f"list_transform(string_split({b}, ''), lambda x: coalesce({mask}, 0)::HUGEINT)"
+    full = f"((1::HUGEINT << length({a})::HUGEINT) - 1)"
+    row = f"list_reduce({masks}, lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full}, {full}::HUGEINT)"
+    return f"(case when {a} = '' or {b} = '' then 0 else length({a}) - bit_count({row}) end)"
+
+
+def ratio_of(found: str, a: str, b: str) -> str:
+    return f"case when length({a}) + length({b}) = 0 then 1.0 else 2 * {found} / (length({a}) + length({b})) end"
+
+
+def edit_measures(pairs: str) -> str:
+    """CTEs up to edits: for each row (k, a, b) of ``pairs`` its ratio, token_sort, token_set and partial."""
+    listed = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    return f"""
+cut as materialized (select k, a, b, list_sort({words("a")}) as wa, list_sort({words("b")}) as wb, list_distinct({words("a")}) as sa, list_distinct({words("b")}) as sb from {pairs}),
+parts as materialized (select *, array_to_string(wa, ' ') as ta, array_to_string(wb, ' ') as tb, {listed("list_filter(sa, lambda x: not list_contains(sb, x))")} as oa,
+  {listed("list_filter(sb, lambda x: not list_contains(sa, x))")} as ob, {listed("list_intersect(sa, sb)")} as common from cut),
+windows as materialized (
+  select k, short, unnest(list_distinct(list_concat(
+    list_transform(range(1, length(short) + 1), lambda n: substr(long, 1, n)), list_transform(range(1, length(short) + 1), lambda n: right(long, n)),
+    list_transform(range(1, length(long) - length(short) + 2), lambda i: substr(long, i, length(short)))))) as w
+  from (select k, case when length(a) <= length(b) then a else b end as short, case when length(a) <= length(b) then b else a end as long from parts where a <> '' and b <> ''
+    union all select k, b, a from parts where a <> '' and length(a) = length(b)) x),
+best as (select k, max(2 * {lcs("short", "w")} / (length(short) + length(w))) as partial from windows group by k),
+edits as materialized (
+  select k, {ratio_of(lcs("a", "b"), "a", "b")} as ratio, {ratio_of(lcs("ta", "tb"), "ta", "tb")} as token_sort,
+    case when len(sa) = 0 or len(sb) = 0 then 0.0 when common <> '' and (oa = '' or ob = '') then 1.0
+      when common = '' then 2 * {lcs("oa", "ob")} / (length(oa) + length(ob))
+      else greatest(2 * (length(common) + 1 + {lcs("oa", "ob")}) / (2 * length(common) + 2 + length(oa) + length(ob)),
+        2 * length(common) / (2 * length(common) + 1 + length(oa)), 2 * length(common) / (2 * length(common) + 1 + length(ob))) end as token_set,
+    coalesce(partial, (a = b)::INT::DOUBLE) as partial
+  from parts left join best using (k))"""

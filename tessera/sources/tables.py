@@ -6,6 +6,9 @@ strings, '' for missing; ground truth is one row per S1 id with a comma list of
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,23 +111,113 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- files of the session ------------------------------------------------------------------------------------
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share: ``spark.checkpoint.dir``; only a local session may go without."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file:///tmp/checkpoints/tessera"
+    return found.rstrip("/")
+
+
+_CACHED: dict[tuple, str] = {}
+
+
+def cached(spark: SparkSession, name: str, build: Callable[[], DataFrame], *keys) -> DataFrame:
+    """The frame that ``build`` makes, as Parquet in the shared folder: written once a session for each name and keys.
+
+    A key holds the paths, sizes and times of the input files, so changed files are read anew.  Lost files are, too.
+    """
+    key = (spark.sparkContext.applicationId, name, *map(str, keys))
+    if key not in _CACHED or not _exists(spark, f"{_CACHED[key]}/_SUCCESS"):
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        _CACHED[key] = path
+    return spark.read.parquet(_CACHED[key])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
+def stamp(spark: SparkSession, path: str) -> str:
+    """Sizes and times of the files under a path."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(found)
+    return f"{path}:" + ",".join(sorted(f"{f.getPath().getName()}/{f.getLen()}/{f.getModificationTime()}" for f in files))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as the session runs tasks at once: a small file is one partition."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 # --- projection of `documents` -------------------------------------------------------------------------------
 # The first sentence of a document is its name and all that follows its address; the language gives
-# the country and the source one of three tables.
+# the country and the source one of three tables.  Written records follow, which hold what prose does not: prefixes,
+# domains, legal suffixes, landmarks, abbreviations, postal codes, other scripts and missing fields.
+
+LITERALS = [
+    ("S1-L01", "Pioneer Industries Private Limited", "Near SBI ATM, MG Rd, No. 5", "India"),
+    ("S2-L01", "Pioneer Industries Private Limited", "Near SBI ATM, MG Road, Number 5, Pune 411001", "India"),
+    ("S1-L02", "M/s. Foo Traders Pvt. Ltd.", "opp. Bus Stand, nr Temple, Pune 411001", "India"),
+    ("S3-L02", "Foo Traders Pvt Ltd", "Opposite Bus Stand, Temple Road, Pune 411001", "India"),
+    ("S1-L03", "energyvrtextile.com", "Plot 42, Sec 18, 42", "India"),
+    ("S2-L03", "EnergyVR Textile", "Plot 42, Sector 18", "India"),
+    ("S1-L04", "AT&T Inc", "151 W 25th St, Ste 4, Springfield, IL 62704", "US"),
+    ("S2-L04", "AT&T Inc", "151 West 25th Street, Suite 4, Springfield 62704", "US"),
+    ("S1-L05", "Boulangerie St. Honoré SARL", "12 Rue St-Honoré, 75008 Paris", "France"),
+    ("S2-L05", "Boulangerie St. Honoré SARL", "5 Av. de la République, 75008 Paris", "France"),
+    ("S3-L05", "Boulangerie Saint Honore", "12 rue Saint-Honoré 75008 Paris", "France"),
+    ("S1-L06", "St. Jude Supplies", "12345 Elm St, Springfield, IL 62704", "US"),
+    ("S3-L06", "St. Jude Supplies", "12345 Elm St", "US"),
+    ("S1-L07", "-- Mr. Smith & Sons LLC", "Next to Park Ave", "US"),
+    ("S2-L07", "Smith & Sons", "beside Park Ave Blvd Apt 3 Fl 2 62704-1234", "US"),
+    ("S1-L08", "Acme.co.in", "behind City Mall, Hwy 7, Nagpur 440001", "India"),
+    ("S2-L08", "ACME", "adjacent to City Mall, Highway 7, Nagpur 440001", "India"),
+    ("S1-L09", "北京贸易 Traders", "长安街 12, 110001", "India"),
+    ("S2-L09", "北京贸易 Traders", "Chang An Road 12, 110001", "India"),
+    ("S1-L10", "Foo Co Ltd Pvt Inc LLC", "10 Hill Ln, Dallas 75201", "US"),
+    ("S3-L10", "Foo Company Limited", "10 Hill Lane, Dallas 75201", "US"),
+    ("S1-L11", "Smith Associates Group", "5 Lake Dr", "US"),
+    ("S2-L11", "Smith Associates", "5 Lake Drive", "US"),
+    ("S1-L12", "Co Op Market Inc.", "9 Rue Cler, 69002 Lyon", "France"),
+    ("S2-L12", "Co Op Market", "9 rue Cler, 69002 Lyon", "France"),
+    ("S1-L13", "Ltd", "", "US"),
+    ("S2-L13", "Ltd", "", "US"),
+    ("S1-L14", "Sharma Foods Pvt Ltd", "H.No. 12, Opp. Rly Station, Jaipur 302001", "India"),
+    ("S3-L14", "Sharma Foods Private Limited", "House No 12, Opposite Railway Station, Jaipur 302001", "India"),
+    ("S1-L15", "dba Blue Sky Café SAS", "75 Bd Voltaire, 75011 Paris", "France"),
+    ("S2-L15", "Blue Sky Cafe", "75 Boulevard Voltaire 75011 Paris", "France"),
+    ("S3-L15", "Café Sky Blue SAS", "75 Bd Voltaire, 75011 Paris", "France"),
+]
+
+
+def literal_records(spark: SparkSession) -> DataFrame:
+    names = [f.name for f in SOURCE]
+    rows = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r, strict=True))) for r in LITERALS))
+    return spark.range(1).select(F.inline(rows))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     name = F.regexp_extract(F.coalesce("text", F.lit("")), r"^[^.!?\n]*", 0)
     rest = F.regexp_replace(F.substr("text", F.length(name) + 1, F.length("text")), r"^[.!?\s]+", "")
     number = F.expr("try_cast(substr(source, 4) as int)")
     country = F.expr("case lang when 'en' then 'US' when 'fr' then 'France' when 'es' then 'India' when 'de' then 'Germany' else lang end")
-    return docs.select(
-        F.concat(F.lit("S"), (number % 3 + 1).cast("string"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("entity_id"),
+    rows = docs.select(
+        F.concat(F.lit("S"), (number % 3 + 1).cast("string"), F.lit("-"), F.expr("lpad(string(doc_id), greatest(12, length(string(doc_id))), '0')")).alias("entity_id"),
         name.alias("business_name"),
         F.coalesce(F.replace(rest, F.lit("\n"), F.lit(" ")), F.lit("")).alias("business_address"),
         country.alias("country"),
     )
+    return rows.unionByName(literal_records(spark))
 
 
 def of_source(ents: DataFrame, *tags: str) -> DataFrame:
@@ -141,12 +234,14 @@ def truth(ents: DataFrame) -> DataFrame:
     return ids.join(hits, "source1_entity_id", "left")
 
 
+_VALUES = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in r) + ")" for r in LITERALS)
 ENTITIES_SQL = r"""ent as (
-  select 'S' || (1 + substr(source, 4)::INT % 3)::VARCHAR || '-' || lpad(doc_id::VARCHAR, 12, '0') as entity_id,
+  select 'S' || (1 + substr(source, 4)::INT % 3)::VARCHAR || '-' || lpad(doc_id::VARCHAR, greatest(12, length(doc_id::VARCHAR))::INT, '0') as entity_id,
     regexp_extract(text, '^[^.!?\n]*') as business_name,
     replace(regexp_replace(substr(text, length(regexp_extract(text, '^[^.!?\n]*')) + 1), '^[.!?\s]+', ''), chr(10), ' ') as business_address,
     case lang when 'en' then 'US' when 'fr' then 'France' when 'es' then 'India' when 'de' then 'Germany' else lang end as country
-  from documents)"""
+  from documents
+  union all select * from (values """ + _VALUES + """) as v(entity_id, business_name, business_address, country))"""
 
 TRUTH_SQL = """gt as (
   select s.entity_id as source1_entity_id, n.entity_id as matched_entity_id
