@@ -118,31 +118,61 @@ def recall_ceiling(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
+def low_recall(ceiling: DataFrame, least: float = 0.95) -> DataFrame:
+    """The recall ceiling with ``low``: whether blocking loses more than a matcher should be asked to bear."""
+    return ceiling.withColumn("low", F.col("recall") < least)
+
+
 def missed(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """True pairs that are not among the candidates."""
     known = truth.where("matched_entity_id is not null").withColumnRenamed("matched_entity_id", "candidate_entity_id")
     return known.join(pairs.select(*IDS), IDS, "left_anti")
 
 
-def fold(ids: DataFrame, share: float, seed: int = 42, id_col: str = "entity_id") -> DataFrame:
-    """ids with validation true for the first max(1, n * share) by a seeded hash.
+def hash_places(rows: DataFrame, groups: list[str], key: Column, *ties: str) -> DataFrame:
+    """rows with ``place`` (from 1) by (md5 of key, ties) inside each group, and ``of``, the size of the group.
 
-    A hash limit found by rank of the hash alone keeps this free of a global sort of rows.
+    Places come in two levels, 4,096 hash ranges of a group and rows of a range, so no task gets a whole group.
     """
-    hashed = ids.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col))))
-    n = F.greatest(F.lit(1), F.floor(F.count("*") * share)).cast("int")
-    wanted = hashed.agg(n.alias("n")).first()["n"]
-    chosen = hashed.orderBy("_h", id_col).limit(wanted).select(id_col, F.lit(True).alias("validation"))
-    return ids.join(chosen, id_col, "left").withColumn("validation", F.coalesce("validation", F.lit(False)))
+    rows = rows.withColumn("_h", F.md5(key)).withColumn("_b", F.substring("_h", 1, 3))
+    group = [F.col(g) for g in groups] or [F.lit(1)]
+    per = rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumns({"_before": F.coalesce(F.sum("_n").over(upto), F.lit(0)), "of": F.sum("_n").over(Window.partitionBy(*group))})
+    per = per.select(F.col("_b").alias("_pb"), *(F.col(g).alias(f"_p_{g}") for g in groups), "_before", "of")
+    same = F.col("_b") == F.col("_pb")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_p_{g}"))
+    inside = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy("_h", *ties))
+    rows = rows.withColumn("_in", inside).join(per, same)
+    return rows.withColumn("place", F.col("_before") + F.col("_in")).drop("_h", "_b", "_pb", "_in", "_before", *(f"_p_{g}" for g in groups))
+
+
+def fold(ids: DataFrame, share: float, seed: int = 42, id_col: str = "entity_id") -> DataFrame:
+    """ids with validation true for the first max(1, n * share) by a seeded hash."""
+    placed = hash_places(ids, [], F.concat(F.lit(f"{seed}|"), F.col(id_col)), id_col)
+    first = F.col("place") <= F.greatest(F.lit(1), F.floor(F.col("of") * share))
+    return placed.withColumn("validation", first).drop("place", "of")
 
 
 def subsample_negatives(pairs: DataFrame, ratio: float, seed: int = 42) -> DataFrame:
     """All positive pairs and the first positives * ratio negative ones by a seeded hash."""
-    positives = pairs.where("label = 1")
-    wanted = int(positives.count() * ratio)
-    h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(IDS[0]), F.lit("|"), F.col(IDS[1])))
-    negatives = pairs.where("label = 0").withColumn("_h", h).orderBy("_h", *IDS).limit(wanted).drop("_h")
-    return positives.unionByName(negatives)
+    wanted = pairs.agg(F.floor(F.count_if(F.col("label") == 1) * ratio).alias("_wanted"))
+    placed = hash_places(pairs, ["label"], F.concat(F.lit(f"{seed}|"), F.col(IDS[0]), F.lit("|"), F.col(IDS[1])), *IDS)
+    return placed.crossJoin(F.broadcast(wanted)).where("label = 1 or place <= _wanted").drop("place", "of", "_wanted")
+
+
+def systematic_sample(rows: DataFrame, n: int, id_col: str = "entity_id", key: str = "source") -> DataFrame:
+    """Every n-th row of each ``key`` in the order of ids, the n-th first.
+
+    Positions come in two levels: ranges of ids (their first 12 characters), and rows of a range.
+    """
+    ranged = rows.withColumn("_r", F.substring(id_col, 1, 12))
+    per = ranged.groupBy(key, "_r").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy(key, "_r").orderBy(id_col))
+    placed = ranged.withColumn("_in", inside).join(per.select(key, "_r", before.alias("_before")), [key, "_r"])
+    return placed.where((F.col("_in") + F.col("_before")) % n == 0).select(*rows.columns)
 
 
 def without_owner(scored: DataFrame) -> DataFrame:

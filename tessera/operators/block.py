@@ -66,18 +66,31 @@ def _weighted(side: DataFrame, vocab: DataFrame, on: list[str]) -> DataFrame:
     return raw.select("entity_id", "country", "pool", "channel", "token", (F.col("raw") / norm).alias("w"))
 
 
-def weights(norm: DataFrame, how: Blocking = DEFAULT, cut=X.words) -> tuple[DataFrame, DataFrame]:
-    """Unit vectors as postings (entity_id, country, pool, channel, token, w) of S1 and of the pools."""
-    all_tokens = tokens(norm, how.channels, cut)
-    s1, pool = all_tokens.where("source = 'S1'"), all_tokens.where("source <> 'S1'")
-    vocab = vocabulary(pool, norm.where(X.source_tag(F.col("entity_id")) != "S1"), how)
-    on = ["country", "channel", "token"]
-    return _weighted(s1.drop("source"), vocab, on), _weighted(pool.withColumnRenamed("source", "pool"), vocab, ["pool", *on])
-
-
-def similarities(norm: DataFrame, how: Blocking = DEFAULT, cut=X.words) -> DataFrame:
-    """s1, pool, cand, sim_<channel> for every pair that shares a kept token in a channel."""
-    left, right = weights(norm, how, cut)
+def fit_pool(norm: DataFrame, how: Blocking = DEFAULT, cut=X.words) -> tuple[DataFrame, DataFrame]:
+    """The index of the pools: vocabulary, and unit vectors as postings (entity_id, country, pool, channel, token, w)."""
+    pool = norm.where(X.source_tag(F.col("entity_id")) != "S1")
+    held = tokens(pool, how.channels, cut)
+    vocab = vocabulary(held, pool, how)
+    return vocab, _weighted(held.withColumnRenamed("source", "pool"), vocab, ["pool", "country", "channel", "token"])
+
+
+def save_pool(index: tuple[DataFrame, DataFrame], path: str) -> None:
+    for name, rows in zip(("vocabulary", "postings"), index, strict=True):
+        rows.write.mode("overwrite").partitionBy("country").parquet(f"{path}/{name}")
+
+
+def load_pool(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    country = "country string"
+    vocab = spark.read.schema(f"pool string, channel string, token string, df long, idf double, {country}").parquet(f"{path}/vocabulary")
+    postings = spark.read.schema(f"entity_id string, pool string, channel string, token string, w double, {country}").parquet(f"{path}/postings")
+    return vocab, postings
+
+
+def similarities(norm: DataFrame, how: Blocking = DEFAULT, cut=X.words, index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """s1, pool, cand, sim_<channel> for every pair that shares a kept token in a channel; ``index`` may come from files."""
+    vocab, right = index or fit_pool(norm, how, cut)
+    s1 = tokens(norm.where(X.source_tag(F.col("entity_id")) == "S1"), how.channels, cut).drop("source")
+    left = _weighted(s1, vocab, ["country", "channel", "token"])
     left = left.select(F.col("entity_id").alias("s1"), "country", "pool", "channel", "token", F.col("w").alias("w1"))
     right = right.select(F.col("entity_id").alias("cand"), "country", "pool", "channel", "token", F.col("w").alias("w2"))
     both = left.join(right, ["country", "pool", "channel", "token"])
@@ -106,9 +119,9 @@ def ranked(sims: DataFrame, how: Blocking = DEFAULT) -> DataFrame:
     return picked.select("s1", "pool", "cand", *(f"sim_{c}" for c in how.channels), *(f"rank_{c}" for c in how.channels))
 
 
-def candidates(norm: DataFrame, how: Blocking = DEFAULT) -> DataFrame:
+def candidates(norm: DataFrame, how: Blocking = DEFAULT, index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """The candidate table: pairs of all pools with similarities, ranks and what the whole list of an S1 record says."""
-    rows = ranked(similarities(norm, how), how)
+    rows = ranked(similarities(norm, how, index=index), how)
     best = F.greatest(*(F.col(f"sim_{c}") for c in how.channels)) if len(how.channels) > 1 else F.col(f"sim_{how.channels[0]}")
     whole = Window.partitionBy("source1_entity_id")
     rows = rows.withColumnRenamed("s1", "source1_entity_id").withColumnRenamed("cand", "candidate_entity_id").drop("pool")
@@ -140,6 +153,34 @@ def ngram_neighbours(norm: DataFrame, top_k: int = 20, low: int = 3, high: int =
     return sims.withColumn("place", place).where(F.col("place") <= top_k).select("s1", "cand", "sim")
 
 
+def capped_neighbours(ents: DataFrame, text: str = "business_name", top_k: int = 20, most_terms: int = 40_000, min_df: int = 2, low: int = 3, high: int = 5) -> DataFrame:
+    """country, pool, s1, cand, sim: nearest raw texts (lower-cased, white space squeezed) by character n-grams.
+
+    Each pool of a country has a vocabulary of its own: terms of at least ``min_df`` records, the ``most_terms`` that occur
+    oftenest in all (ties by term).  Pairs without a common term are left out.
+    """
+    rows = ents.select("entity_id", "country", X.source_tag(F.col("entity_id")).alias("source"), X.squeeze(F.lower(F.col(text))).alias("t"))
+    grams = rows.select("entity_id", "country", "source", F.explode(X.char_ngram_bag(F.col("t"), low, high)).alias("token"))
+    tf = grams.groupBy("entity_id", "country", "source", "token").agg(F.count("*").alias("tf"))
+    pool = tf.where("source <> 'S1'").withColumnRenamed("source", "pool")
+    n = rows.where("source <> 'S1'").groupBy("country", F.col("source").alias("pool")).agg(F.count("*").alias("n"))
+    terms = pool.groupBy("country", "pool", "token").agg(F.count("*").alias("df"), F.sum("tf").alias("all"))
+    place = F.row_number().over(Window.partitionBy("country", "pool").orderBy(F.desc("all"), "token"))
+    terms = terms.where(F.col("df") >= min_df).withColumn("place", place).where(F.col("place") <= most_terms).join(n, ["country", "pool"])
+    vocab = terms.select("country", "pool", "token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+    def unit(side: DataFrame, on: list[str], name: str, w: str) -> DataFrame:
+        raw = side.join(vocab, on).withColumn("raw", F.col("tf") * F.col("idf"))
+        length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("entity_id", "pool")))
+        return raw.select(F.col("entity_id").alias(name), "country", "pool", "token", (F.col("raw") / length).alias(w))
+
+    left = unit(tf.where("source = 'S1'").drop("source"), ["country", "token"], "s1", "w1")
+    right = unit(pool, ["country", "pool", "token"], "cand", "w2")
+    sims = left.join(right, ["country", "pool", "token"]).groupBy("country", "pool", "s1", "cand").agg(F.round(F.sum(F.col("w1") * F.col("w2")), 9).alias("sim"))
+    best = F.row_number().over(Window.partitionBy("s1", "pool").orderBy(F.desc("sim"), "cand"))
+    return sims.withColumn("place", best).where(F.col("place") <= top_k).drop("place")
+
+
 def sorted_neighbours(norm: DataFrame, window: int = 5) -> DataFrame:
     """s1, cand: pool records at sorted name positions [p - window, p + window), p being how many names sort before.
 

@@ -37,11 +37,18 @@ def looked_up(pairs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def unknown_ids(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """Ids of pairs that records lack (strict callers require none)."""
+    """Ids of pairs that records lack."""
     ids = pairs.select(F.explode(F.array(*IDS)).alias("entity_id")).distinct()
     return ids.join(records.select("entity_id"), "entity_id", "left_anti")
 
 
+def require_known(pairs: DataFrame, records: DataFrame) -> None:
+    """Raises KeyError if records lack an id of pairs."""
+    some = [r["entity_id"] for r in unknown_ids(pairs, records).limit(5).collect()]
+    if some:
+        raise KeyError(f"pairs name records that are not there, such as {some}")
+
+
 def set_features(pairs: DataFrame, ents: DataFrame, ready: bool = False) -> DataFrame:
     """The features of the batch set that need no UDF; ``ready`` records are normalised already."""
     rows = (ents if ready else normalized(ents)).select(

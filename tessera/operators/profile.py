@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import similarity as M
 from tessera.functions import text as X
+from tessera.operators.assign import hash_places
 from tessera.sources.tables import of_source
 
 FIELDS = ("entity_id", "business_name", "business_address", "country")
@@ -125,6 +126,16 @@ def country_consistency(ents: DataFrame, truth: DataFrame) -> DataFrame:
     return true_pairs(ents, truth).agg(F.count("*").alias("pairs"), F.count_if(~same).alias("mismatches"), (F.avg(same.cast("double")) * 100).alias("pct"))
 
 
+def country_mismatches(ents: DataFrame, truth: DataFrame) -> DataFrame:
+    """The true pairs whose records name different countries."""
+    return true_pairs(ents, truth).where("l_country <> r_country").select("source1_entity_id", "matched_entity_id", "l_country", "r_country")
+
+
+def records_by_source(ents: DataFrame) -> DataFrame:
+    """Records of each country, a column per table."""
+    return with_source(ents).groupBy("country").pivot("source", ["S1", "S2", "S3"]).agg(F.count("entity_id")).na.fill(0)
+
+
 def matched_together(ents: DataFrame, truth: DataFrame, reach: int = 3) -> DataFrame:
     """Pairs of one record's matches from one table, at most ``reach`` places apart in order of id, with both names.
 
@@ -233,8 +244,8 @@ def random_negatives(ents: DataFrame, truth: DataFrame, times: int = 5, seed: in
     by hash order, so this is two joins on a number.
     """
     def numbered(side: DataFrame, name: str) -> DataFrame:
-        order = Window.partitionBy("country").orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("entity_id"))), "entity_id")
-        return side.select("country", F.col("entity_id").alias(name), (F.row_number().over(order) - 1).cast("long").alias(f"{name}_no"))
+        placed = hash_places(side.select("country", "entity_id"), ["country"], F.concat(F.lit(f"{seed}|"), F.col("entity_id")), "entity_id")
+        return placed.select("country", F.col("entity_id").alias(name), (F.col("place") - 1).cast("long").alias(f"{name}_no"))
 
     s1, pool = numbered(of_source(ents, "S1"), "s1"), numbered(of_source(ents, "S2", "S3"), "cand")
     sizes = s1.groupBy("country").agg(F.count("*").alias("n1")).join(pool.groupBy("country").agg(F.count("*").alias("n2")), "country")
@@ -343,6 +354,7 @@ def first_rows(ents: DataFrame, country: str, sizes: dict[str, int]) -> DataFram
 def tiny_sample(ents: DataFrame, s1: int = 200, noisy: int = 3000, seed: int = 42) -> DataFrame:
     """A small copy of the tables: first S1 records by id, noisy records by seeded hash."""
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col("entity_id")))
-    rows = with_source(ents).withColumn("_key", F.when(F.col("source") == "S1", F.col("entity_id")).otherwise(h))
-    place = F.row_number().over(Window.partitionBy("source").orderBy("_key", "entity_id"))
-    return rows.withColumn("_place", place).where(F.col("_place") <= F.when(F.col("source") == "S1", s1).otherwise(noisy)).drop("_key", "_place", "source")
+    first = of_source(ents, "S1").orderBy("entity_id").limit(s1)
+    for tag in ("S2", "S3"):
+        first = first.unionByName(of_source(ents, tag).orderBy(h, "entity_id").limit(noisy))
+    return first

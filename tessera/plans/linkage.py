@@ -225,6 +225,25 @@ def block_postal(spark, sf):
     return block.postal_candidates(S.entities(spark, sf))
 
 
+_RAW = r"trim(regexp_replace(lower(business_name), '\s+', ' ', 'g'))"
+_CAP = 1_000
+
+
+# The cap of the published study is 40,000 terms; names of the test tables have fewer, so the query asks for one that bites.
+@register(f"""{ENT}, norm as (select entity_id, country, split_part(entity_id, '-', 1) as source, {_RAW} as name from ent),
+tf as materialized (select entity_id, country, source, token, count(*) as tf from (select entity_id, country, source, unnest({_BAG}) as token from norm) group by all),
+n as (select country, source as pool, count(*) as n from norm where source <> 'S1' group by all),
+terms as (select country, source as pool, token, count(*) as df, sum(tf) as total from tf where source <> 'S1' group by country, source, token having count(*) >= 2
+  qualify row_number() over (partition by country, source order by sum(tf) desc, token) <= {_CAP}),
+vocab as materialized (select country, pool, token, ln((1 + n) / (1 + df)) + 1 as idf from terms join n using (country, pool)),
+unit as materialized (select entity_id, country, pool, token, source = 'S1' as clean, tf * idf / sqrt(sum((tf * idf) ** 2) over (partition by entity_id, pool)) as w
+  from tf join vocab using (country, token) where source = 'S1' or source = pool),
+dots as (select country, pool, x.entity_id as s1, y.entity_id as cand, round(sum(x.w * y.w), 9) as sim from unit x join unit y using (country, pool, token) where x.clean and not y.clean group by country, pool, s1, cand)
+select country, pool, s1, cand, round(sim, 6) as sim from dots qualify row_number() over (partition by s1, pool order by sim desc, cand) <= 20""")
+def block_knn_char_capped(spark, sf):
+    return _r(block.capped_neighbours(S.entities(spark, sf), most_terms=_CAP), "sim")
+
+
 _RECALL_SQL = f"""with {Q.BLOCK_TRUTH_SQL},
 t as (select source1_entity_id as s1, matched_entity_id as cand, split_part(matched_entity_id, '-', 1) as pool from gt where matched_entity_id is not null),
 ctry as (select entity_id as s1, country from ent),
@@ -498,6 +517,13 @@ def recall_ceiling(spark, sf):
     return _r(rows, "recall", "mean_candidates", "empty_fraction")
 
 
+@register(f"""with {Q.BLOCK_TRUTH_SQL}, t as (select count(*) as n, count(c.source1_entity_id) as found from (select * from gt where matched_entity_id is not null) g
+  left join cand c on c.source1_entity_id = g.source1_entity_id and c.candidate_entity_id = g.matched_entity_id)
+select round(coalesce(found / nullif(n, 0), 1.0), 6) as recall, coalesce(found / nullif(n, 0), 1.0) < 0.95 as low from t""")
+def low_recall(spark, sf):
+    return _r(assign.low_recall(assign.recall_ceiling(_candidates(spark, sf), S.truth(S.entities(spark, sf)))), "recall").select("recall", "low")
+
+
 _F = "case when n = 0 and n_true = 0 then 1.0 when n = 0 or n_true = 0 or tp = 0 then 0.0 else 1.25 * (tp / n) * (tp / n_true) / (0.25 * (tp / n) + tp / n_true) end"
 _PER = f"""with {Q.SCORED_SQL}, st as (select source1_entity_id, count(matched_entity_id) as n_true from gt group by all),
 mk as (select o.source1_entity_id, o.candidate_entity_id, round(o.score, 9) as score, g.matched_entity_id is not null as ok from owned o
@@ -518,6 +544,13 @@ def threshold_sweep(spark, sf):
     return _r(assign.threshold_sweep(assign.owners(_scored(spark, sf)), S.truth(S.entities(spark, sf))), "f_beta")
 
 
+@register(f"""{_PER}, g as (select unnest(range(0, 31)) as i), per as (select i, s.source1_entity_id, any_value(n_true) as n_true, count(m.score) as n, count(*) filter (m.ok) as tp
+  from st s cross join g left join mk m on m.source1_entity_id = s.source1_entity_id and m.score * 1000 + 1e-6 >= 200 + 25 * i group by i, s.source1_entity_id)
+select (200 + 25 * i) / 1000.0::DOUBLE as threshold, round(avg({_F}), 6) as f_beta from per group by i order by round(avg({_F}), 9) desc, threshold limit 1""")
+def best_threshold(spark, sf):
+    return _r(assign.best_threshold(assign.threshold_sweep(assign.owners(_scored(spark, sf)), S.truth(S.entities(spark, sf)))), "f_beta")
+
+
 @register(f"""with {Q.BLOCK_TRUTH_SQL}, miss as (select gt.source1_entity_id as s, matched_entity_id as c from gt where matched_entity_id is not null
   and (gt.source1_entity_id, matched_entity_id) not in (select source1_entity_id, candidate_entity_id from cand)),
 r as (select entity_id, {Q.words("name")} as nt, {Q.words("address")} as at from norm)
@@ -578,3 +611,20 @@ def tsv_roundtrip(spark, sf):
     back = S.read_ground_truth(spark, path)
     pairs = S.truth_pairs(back).groupBy("source1_entity_id").agg(F.array_sort(F.collect_list("matched_entity_id")).alias("matched_entity_ids"))
     return S.id_lists(pairs, "source1_entity_id", "matched_entity_ids")
+
+
+@register(f"""with {Q.SCORED_SQL}, m as (select * from owned where round(score, 9) >= {LIMIT})
+select entity_id as source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' order by round(score, 9) desc, candidate_entity_id), '') as matched_entity_ids
+from ent left join m on source1_entity_id = entity_id where entity_id like 'S1-%' group by entity_id""")
+def run_files(spark, sf):
+    """From source files to result files and back: blocking, a linear scorer with its saved threshold, ownership, lists."""
+    from tessera.plans import drivers
+
+    root = f"{S.shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    ents = S.entities(spark, sf)
+    for tag in ("S1", "S2", "S3"):
+        S.write_source(S.of_source(ents, tag), f"{root}/data/test_source{tag[1]}.tsv")
+    drivers.run_blocking(spark, f"{root}/data", f"{root}/blocking", split="test", cache_dir=f"{root}/cache")
+    S.write_config(spark, f"{root}/threshold.json", {"threshold": LIMIT, "scorer": "linear"})
+    drivers.run_infer(spark, f"{root}/blocking/candidates", f"{root}/data", None, f"{root}/threshold.json", f"{root}/out", split="test")
+    return S.read_ground_truth(spark, f"{root}/out/matching_results.tsv")

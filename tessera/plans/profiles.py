@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.operators import assign
 from tessera.operators import profile as P
 from tessera.plans import sqltext as Q
 from tessera.plans.linkage import _POSTAL_SQL, _r
@@ -235,3 +236,22 @@ def sample_records(spark, sf):
 @register(f"""{ENT} select entity_id from ent qualify row_number() over (partition by {TAG} order by case when {TAG} = 'S1' then entity_id else md5('42|' || entity_id) end, entity_id) <= case {TAG} when 'S1' then 200 else 3000 end""")
 def tiny_sample(spark, sf):
     return P.tiny_sample(S.entities(spark, sf)).select("entity_id")
+
+
+@register(f"""{ENT}, e as (select *, row_number() over (partition by {TAG} order by entity_id) as place from ent) select entity_id, {TAG} as source from e where place % 5 = 0""")
+def systematic_sample(spark, sf):
+    return assign.systematic_sample(P.with_source(S.entities(spark, sf)).select("entity_id", "source"), 5)
+
+
+@register(f"""{ENT} select country, count(*) filter ({TAG} = 'S1') as S1, count(*) filter ({TAG} = 'S2') as S2, count(*) filter ({TAG} = 'S3') as S3 from ent group by country""")
+def records_pivot(spark, sf):
+    return P.records_by_source(S.entities(spark, sf))
+
+
+@register(f"""{ENT} select l.entity_id as source1_entity_id, r.entity_id as matched_entity_id, l.country as l_country, r.country as r_country
+from ent l join ent r on l.business_name = r.business_name and l.country <> r.country where l.entity_id like 'S1-%' and r.entity_id not like 'S1-%'""")
+def country_mismatches(spark, sf):
+    """Pairs of one name in different countries, as a truth without regard to countries would list them."""
+    ents = S.entities(spark, sf)
+    same = S.truth(ents.withColumn("country", F.lit("")), every=True)
+    return P.country_mismatches(ents, same)

@@ -31,6 +31,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, quoted: bool) ->
         .option("quote", '"' if quoted else "")
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("lineSep", "\n")
         .csv(path)
     )
     return df.select(*(F.coalesce(F.col(f.name), F.lit("")).alias(f.name) for f in schema))
@@ -89,6 +90,23 @@ def write_candidates(candidates: DataFrame, path: str) -> None:
     (writer.partitionBy("country") if "country" in candidates.columns else writer).parquet(path)
 
 
+def read_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """The candidate table that ``write_candidates`` wrote."""
+    return spark.read.parquet(path)
+
+
+def write_source(rows: DataFrame, path: str) -> None:
+    """A source table, tab-separated and quoted, with a head line."""
+    rows.select(*(f.name for f in SOURCE)).write.mode("overwrite").options(
+        sep="\t", header=True, quote='"', escape='"', quoteAll=True, emptyValue="", lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+
+
+def write_table(rows: DataFrame, path: str) -> None:
+    """A result table as CSV with a head line."""
+    rows.write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
+
+
 def write_config(spark: SparkSession, path: str, config: dict) -> None:
     import json
 
@@ -189,6 +207,7 @@ LITERALS = [
     ("S2-L11", "Smith Associates", "5 Lake Drive", "US"),
     ("S1-L12", "Co Op Market Inc.", "9 Rue Cler, 69002 Lyon", "France"),
     ("S2-L12", "Co Op Market", "9 rue Cler, 69002 Lyon", "France"),
+    ("S2-L16", "Co Op Market Inc.", "1 Main St, Boston 02108", "US"),
     ("S1-L13", "Ltd", "", "US"),
     ("S2-L13", "Ltd", "", "US"),
     ("S1-L14", "Sharma Foods Pvt Ltd", "H.No. 12, Opp. Rly Station, Jaipur 302001", "India"),
@@ -224,10 +243,14 @@ def of_source(ents: DataFrame, *tags: str) -> DataFrame:
     return ents.where(F.split_part("entity_id", F.lit("-"), F.lit(1)).isin(*tags))
 
 
-def truth(ents: DataFrame) -> DataFrame:
-    """True pairs: noisy records that share country and name with an S1 record go to the smallest such id."""
+def truth(ents: DataFrame, every: bool = False) -> DataFrame:
+    """True pairs: noisy records that share country and name with an S1 record go to the smallest such id, or to ``every`` one."""
     tagged = ents.select("entity_id", "country", "business_name")
-    own = of_source(tagged, "S1").groupBy("country", "business_name").agg(F.min("entity_id").alias("source1_entity_id"))
+    own = of_source(tagged, "S1")
+    if every:
+        own = own.withColumnRenamed("entity_id", "source1_entity_id")
+    else:
+        own = own.groupBy("country", "business_name").agg(F.min("entity_id").alias("source1_entity_id"))
     noisy = of_source(tagged, "S2", "S3").withColumnRenamed("entity_id", "matched_entity_id")
     hits = own.join(noisy, ["country", "business_name"]).select("source1_entity_id", "matched_entity_id")
     ids = of_source(tagged, "S1").select(F.col("entity_id").alias("source1_entity_id"))
