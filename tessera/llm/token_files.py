@@ -52,7 +52,7 @@ BLOCK_IDS = 1 << 13
 #: The id of a row without one, in the files.
 NO_ID = -(1 << 63)
 #: Distinct words of which a worker remembers the ids.
-WORDS = 400_000
+WORDS = 600_000
 #: Code points of a text that tell ranges of one id apart.
 RANGE_CHARS = 64
 #: Documents read back at a time, in ids.
@@ -86,17 +86,21 @@ class TokenWriter:
     def __init__(self, stream, bits: int, block: int = BLOCK_IDS):
         self.stream, self.bits, self.block = stream, bits, block
         self.doc_ids, self.starts, self.offsets = array("q"), array("q", [0]), array("q", [_HEAD.size])
-        self.rest = np.empty(0, "<u4")
+        self.rest: list[np.ndarray] = []
+        self.waiting = 0
         stream.write(_HEAD.pack(MAGIC, bits, block))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.doc_ids.append(NO_ID if doc_id is None else doc_id)
         self.starts.append(self.starts[-1] + len(ids))
-        self.rest = np.concatenate([self.rest, ids])
-        whole = len(self.rest) // self.block * self.block
-        for i in range(0, whole, self.block):
-            self._write(self.rest[i : i + self.block])
-        self.rest = self.rest[whole:]
+        self.rest.append(ids)
+        self.waiting += len(ids)
+        if self.waiting >= self.block:
+            flat = np.concatenate(self.rest)
+            whole = len(flat) // self.block * self.block
+            for i in range(0, whole, self.block):
+                self._write(flat[i : i + self.block])
+            self.rest, self.waiting = [flat[whole:]], len(flat) - whole
 
     def _write(self, ids: np.ndarray) -> None:
         data = pack(ids, self.bits)
@@ -104,8 +108,8 @@ class TokenWriter:
         self.offsets.append(self.offsets[-1] + len(data))
 
     def close(self) -> None:
-        if len(self.rest):
-            self._write(self.rest)
+        if self.waiting:
+            self._write(np.concatenate(self.rest))
         for index in (self.doc_ids, self.starts, self.offsets):
             self.stream.write(np.array(index, "<i8").tobytes())
         self.stream.write(_TAIL.pack(self.starts[-1], len(self.doc_ids), len(self.offsets) - 1, MAGIC))
