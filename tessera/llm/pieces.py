@@ -299,6 +299,10 @@ class PieceCodec:
             out.append(b"".join(ids))
         return out
 
+    def rest(self) -> None:
+        """Between tasks a worker keeps the newer generation of words only."""
+        self.old = {}
+
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.model.spelt.__getitem__, ids))
         return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
@@ -345,6 +349,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
                     [batch.column(0).slice(part.start, len(same)), pa.array(sizes), ids, pa.array(same, pa.bool_())],
                     names=["doc_id", "n_pieces", "ids", "round_trip"],
                 )
+        own.rest()
 
     return rows.mapInArrow(encode, f"doc_id {id_type}, n_pieces long, ids array<int>, round_trip boolean")
 
