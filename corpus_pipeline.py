@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir); its rows are written as Parquet in the shared folder and
 read again as the next stage's ``docs``.  All stages but the last return the columns of
 ``documents``; the last returns the SentencePiece ids of every document left.
+
+Defined results, the same in every stage: a null text counts as empty, a null id stays a document of its own, and rows that
+repeat an id and its text are one document to the dedup stages and rows of their own to the others; columns of any other
+name pass through; an empty table gives an empty table with the columns of ``documents``.  No stage drops a row for its length.
 """
 
 from __future__ import annotations
