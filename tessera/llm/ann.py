@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Stage, key_bits, spread, table, tidy
+from tessera.llm.common import Stage, key_bits, small_batches, spread, table, tidy
 
 #: Bounds of the sample, in rows and bytes; its rows for a list, at least; slices of a vector; vectors that a query looks at, at least.
 SAMPLE, SAMPLE_BYTES = 32_768, 64 << 20
@@ -227,7 +227,7 @@ def search(
                 cols = [pa.array(own.astype(np.int32)), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column(1)]
                 yield pa.RecordBatch.from_arrays(cols, names=["list", "id", "codes", "vec"])
 
-    coded = stage.keep(rows.mapInArrow(encode, "list int, id long, codes binary, vec array<double>"), "coded")
+    coded = stage.keep(small_batches(rows).mapInArrow(encode, "list int, id long, codes binary, vec array<double>"), "coded")
     sizes = np.zeros(len(index.centres), np.int64)
     for r in coded.groupBy("list").count().collect():  # one row per list
         sizes[r["list"]] = r["count"]
@@ -268,7 +268,7 @@ def search(
 
     asked = stage.keep(rows.where(query_ids(F.col("id"))).dropDuplicates(["id", "vec"]), "asked")
     parts = max(1, -(-asked.count() // GROUP))
-    probes = spread(asked).mapInArrow(probe, "block int, id long, vec array<double>, lists array<int>")
+    probes = small_batches(spread(asked)).mapInArrow(probe, "block int, id long, vec array<double>, lists array<int>")
     task = lambda b, p: (b * parts + p).cast("int").alias("task")
     right = probes.select(
         task(F.col("block"), F.pmod(F.xxhash64("id"), F.lit(parts))), F.lit(1).alias("side"), "id", "vec", F.lit(None).cast("int").alias("list"),
@@ -283,7 +283,7 @@ def search(
     )
     dealt = left.unionByName(right).repartitionById(blocks * parts, F.col("task")).sortWithinPartitions("task", "side")
     compare = _compared(index, len(sizes), k, None if exact else RERANK)
-    found = dealt.mapInArrow(compare, "query_id long, query_vector long, vec_id long, score double")
+    found = small_batches(dealt).mapInArrow(compare, "query_id long, query_vector long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query_vector").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score", "query_vector")

@@ -28,6 +28,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= wanted else df.repartition(wanted)
 
 
+#: Bytes of an Arrow batch, where the session names none: Spark's own bound is 64 MiB, and a batch is held several times
+#: by the executor and by its worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, for an Arrow function: rows are whole texts, so batches are bounded by bytes.
+
+    Sets ``spark.sql.execution.arrow.maxBytesPerBatch`` of the session if nobody has; a longer row is a batch of its own.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in conf.getAll:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ASCII_SPACE, Stage, spread, table, tidy, without
+from tessera.llm.common import ASCII_SPACE, Stage, small_batches, spread, table, tidy, without
 
 _SPACE = ASCII_SPACE.encode()
 #: Bytes that one trie holds before it spills: those of its edges, and what a node takes besides.
@@ -206,8 +206,8 @@ def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def owners(docs: DataFrame) -> DataFrame:
     """norm_len, digest, keep_id, group_size, texts (1, or more if a key has several texts) of each group."""
     rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    partial = rows.mapInArrow(local_owners, PARTIAL).repartition("norm_len", "digest")
-    merged = partial.mapInArrow(merged_owners, PARTIAL).withColumn("text_key", F.xxhash64("body")).drop("body")
+    partial = small_batches(rows).mapInArrow(local_owners, PARTIAL).repartition("norm_len", "digest")
+    merged = small_batches(partial).mapInArrow(merged_owners, PARTIAL).withColumn("text_key", F.xxhash64("body")).drop("body")
     order = F.struct(-F.col("code_points"), F.col("keep_id").isNull(), "keep_id")
     return merged.groupBy("norm_len", "digest").agg(
         F.min(order).alias("first"),
@@ -230,7 +230,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     with their one owner row can be split by adaptive execution.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.mapInArrow(named, "doc_id long, norm_len long, digest binary")
+    keyed = small_batches(rows).mapInArrow(named, "doc_id long, norm_len long, digest binary")
     return keyed.join(owners(docs), ["norm_len", "digest"]).select(
         "doc_id",
         "keep_id",

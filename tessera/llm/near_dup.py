@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ASCII_SPACE, Stage, maybe_among, spread, table, tidy, without
+from tessera.llm.common import ASCII_SPACE, Stage, maybe_among, small_batches, spread, table, tidy, without
 
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
@@ -154,7 +154,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
             cols = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, sketch binary")
+    return small_batches(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, sketch binary")
 
 
 def _sets(ids: DataFrame, reps: DataFrame, texts: DataFrame, words: int, stage: Stage, name: str) -> DataFrame:
@@ -178,7 +178,7 @@ def _sets(ids: DataFrame, reps: DataFrame, texts: DataFrame, words: int, stage:
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "doc_id", "shingles"])
 
-    made = docs.select("id", "doc_id", "text").mapInArrow(run, "id long, doc_id long, shingles array<long>")
+    made = small_batches(docs.select("id", "doc_id", "text")).mapInArrow(run, "id long, doc_id long, shingles array<long>")
     return stage.keep(made, f"sets-{name}")
 
 
@@ -199,7 +199,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
             est = likely_similarity((x > y).sum(axis=1), (x < y).sum(axis=1), n_a, n_b)
             yield batch.select([0, 1, 2, 3]).filter(pa.array(est >= least))
 
-    return both.mapInArrow(run, "a long, b long, n_a long, n_b long")
+    return small_batches(both).mapInArrow(run, "a long, b long, n_a long, n_b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, limit: float, stage: Stage, name: str) -> DataFrame:
@@ -315,7 +315,7 @@ def _block_links(members: DataFrame, reps: DataFrame, sets: DataFrame, limit: fl
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.unionByName(right).groupBy("main", "l", "r").applyInArrow(run, "a long, b long")
+    return small_batches(left.unionByName(right)).groupBy("main", "l", "r").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, limit: float = 0.8, stage: Stage | None = None) -> DataFrame:

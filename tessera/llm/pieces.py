@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import spread, table, tidy
+from tessera.llm.common import small_batches, spread, table, tidy
 
 MARK = "▁"
 #: Distinct words that a worker remembers, and the longest it does; checked pairs of pieces; characters of texts taken at a time.
@@ -351,7 +351,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
                 )
         own.rest()
 
-    return rows.mapInArrow(encode, f"doc_id {id_type}, n_pieces long, ids array<int>, round_trip boolean")
+    return small_batches(rows).mapInArrow(encode, f"doc_id {id_type}, n_pieces long, ids array<int>, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
@@ -368,7 +368,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
                 texts = pa.array([own.decode(x or []) for x in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 512), texts], names=["doc_id", "text"])
 
-    return rows.mapInArrow(decode, f"doc_id {id_type}, text string")
+    return small_batches(rows).mapInArrow(decode, f"doc_id {id_type}, text string")
 
 
 def query(spark, sf_dir):

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Stage, table, tidy
+from tessera.llm.common import Stage, small_batches, table, tidy
 
 MAGIC = b"TSRBITS2"
 _HEAD = struct.Struct("<8sII")
@@ -285,7 +285,7 @@ def write_files(docs: DataFrame, out: str, tokenizer: str, vocabulary: int, end_
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["file_no", "path", "n_docs", "n_ids"])
 
     ordered = rows.repartitionByRange(F.col("doc_id"), F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(write, "file_no long, path string, n_docs long, n_ids long")
+    return small_batches(ordered).mapInArrow(write, "file_no long, path string, n_docs long, n_ids long")
 
 
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -316,7 +316,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
                         first = last
 
     width = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return files.repartition(width, "file_no").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return small_batches(files.repartition(width, "file_no")).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import boosting
-from tessera.llm.common import Stage, key_bits, spread, table, tidy
+from tessera.llm.common import Stage, key_bits, small_batches, spread, table, tidy
 
 #: Bound of the labelled sample; entries of the learned lexicon; cached words of a worker.
 TRAIN_ROWS = 20_000
@@ -164,7 +164,7 @@ def learn_lexicon(sample: DataFrame, entries: int = LEXICON) -> dict[str, float]
     n_bad, n_good = n.get(True, 0), n.get(False, 0)
     if not n_bad or not n_good:
         return {}
-    counts = sample.select("text", "toxic").mapInArrow(_counted, "term string, bad long, good long")
+    counts = small_batches(sample.select("text", "toxic")).mapInArrow(_counted, "term string, bad long, good long")
     sums = counts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where("bad >= 4")
     odds = F.log((F.col("bad") + 0.5) / (n_bad + 1.0)) - F.log((F.col("good") + 0.5) / (n_good + 1.0))
     sure = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[dic
     sample = texts.join(F.broadcast(known), "doc_id").withColumn("part", F.expr("cast(shiftright(h, 7) % 10 as int)"))
     sample = stage.keep(sample.select("text", "toxic", "part"), "sample")
     weights = learn_lexicon(sample.where("part < 4"))
-    rest = sample.where("part >= 4").select("part", "toxic", "text").mapInArrow(_measured(weights), "part int, toxic boolean, x array<double>")
+    rest = small_batches(sample.where("part >= 4").select("part", "toxic", "text")).mapInArrow(_measured(weights), "part int, toxic boolean, x array<double>")
     got = rest.collect()
     stage.drop("sample")
     x = np.array([r["x"] for r in got]).reshape(-1, len(FEATURES))
@@ -220,7 +220,7 @@ def score(docs: DataFrame, weights: dict[str, float], forest: boosting.Forest) -
             x = np.array([lexicon.features(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forest.score(x), pa.float64())], names=["doc_id", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, score double")
+    return small_batches(rows).mapInArrow(run, f"doc_id {id_type}, score double")
 
 
 def held_out(column):
@@ -242,7 +242,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
             yield batch.select([1]).filter(pa.array(forest.score(x) < threshold))
 
     schema = packed.select("row").schema
-    return packed.mapInArrow(run, schema).select("row.*")
+    return small_batches(packed).mapInArrow(run, schema).select("row.*")
 
 
 def query(spark, sf_dir):
