@@ -37,6 +37,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ BLOCK_IDS = 1 << 13
 #: The id of a row without one, in the files.
 NO_ID = -(1 << 63)
 #: Distinct words of which a worker remembers the ids.
-WORDS = 600_000
+WORDS = 1_000_000
 #: Code points of a text that tell ranges of one id apart.
 RANGE_CHARS = 64
 #: Documents read back at a time, in ids.
@@ -152,6 +153,19 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
+class _Spelling(dict):
+    """How the byte-level vocabulary spells a character: by a visible character for each of its bytes."""
+
+    def __init__(self):
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.bytes = {b: chr(b) for b in plain}
+        self.bytes.update({b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in self.bytes)})
+
+    def __missing__(self, c: str) -> str:
+        found = self[c] = "".join(self.bytes[b] for b in c.encode("utf-8", "surrogatepass"))
+        return found
+
+
 class WordEncoder:
     """Byte-level BPE of the tokenizers library, one distinct word at a time.
 
@@ -181,38 +195,52 @@ class WordEncoder:
         )
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.find = regex.compile(WORD).findall
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        spelt = {b: chr(b) for b in plain}
-        spelt.update({b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in spelt)})
-        self.spelling = spelt
+        self.spelling = _Spelling()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         """Ids of one word of the vocabulary's split."""
-        if word.isascii():  # visible characters spell themselves
-            spelt = word.replace(" ", "\u0120") if word.isprintable() else word.translate(self.spelling)
+        if word.isascii() and word.isprintable():  # visible characters spell themselves
+            spelt = word.replace(" ", "\u0120")
         else:
-            spelt = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling)
-        ids = [t.id for t in self.model.tokenize(spelt)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+            spelt = "".join(map(self.spelling.__getitem__, word))
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        """Ids of a space and the run of other characters behind it; remembers them."""
+        """Ids of a space and the run of other characters behind it; remembers them.
+
+        A chunk that begins with a space stands for one word of the split with nothing before it.
+        """
         found = self.old.get(chunk)
         if found is None:
-            body = chunk[:-1]
             if chunk.isalpha():
                 found = self._word(" " + chunk)
-            elif body.isalpha() and chunk[-1] in ".,;:!?":
-                found = (self.new.get(body) or self._chunk(body)) + self._word(chunk[-1])
+            elif chunk[0] == " ":
+                found = self._word(chunk[1:])
             else:
-                found = self._whole(" " + chunk)
+                first, *lines = chunk.split("\n")
+                parts = [self._letters(first, ""), *(self._letters(x, " ") for x in lines)]
+                found = self._whole(" " + chunk) if None in parts else self._known(" \n").join(parts)
         if len(self.new) >= self.words // 2:
             self.old, self.new = self.new, {}
         self.new[chunk] = found
         return found
 
+    def _known(self, chunk: str) -> bytes:
+        return self.new.get(chunk) or self._chunk(chunk)
+
+    def _letters(self, run: str, lead: str) -> bytes | None:
+        """Ids of letters and any ASCII marks behind them, up to a single line end or space; None for another run.
+
+        Letters are one word and marks are one word; so is a line end between two such runs.
+        """
+        body = run.rstrip(punctuation)
+        if not body.isalpha():
+            return None
+        found = self._known(lead + body)
+        return found if len(body) == len(run) else found + self._known(" " + run[len(body) :])
+
     def _whole(self, text: str) -> bytes:
         return b"".join(map(self._word, self.find(text)))
 
