@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,15 @@ def test_blocks_of_long_documents(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "SMALL", 3)
     monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 1500)
     assert sorted(map(tuple, near_dup.near_duplicates(docs, words=4).collect())) == whole
+
+
+def test_words_marks_and_line_ends_as_the_library():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files.WordEncoder(path, words=40)
+    draw, parts = random.Random(5), ["a", "Bc", "é", "è中", "  ", " ", "\n", "\n\n", "\t", "\r", "　", ".", "...", ",", "'s", "'", "1", "***", "x́", "😀", "_", "ª", "²"]
+    for _ in range(4000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 14)))
+        assert library.encode(text, add_special_tokens=False).ids == list(struct.unpack(f"<{len(own.encode(text)) // 4}I", own.encode(text))), repr(text)
