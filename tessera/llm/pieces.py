@@ -4,8 +4,8 @@ A text falls apart at its spaces into marked words (a leading U+2581), and no pi
 the vocabularies this takes crosses such a border.  The distinct words of a block of texts
 that are not in the cache are sorted; walking them in order is a depth-first traversal of
 their trie, and the forward states of a prefix that two words share are computed
-once.  A state keeps, for its prefix, the last piece of the best segmentation, where that piece
-starts, and the vocabulary paths still open.
+once.  A state keeps, for its prefix, the last piece of the best segmentation and the node of an automaton
+over the vocabulary, which holds the pieces that end there.
 
 * ``unigram`` models: the best segmentation has the largest sum of piece scores.
 * ``bpe`` models: the best segmentation is the one that merging yields.  A sequence of pieces is
@@ -27,9 +27,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from array import array
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +44,8 @@ LONGEST = 64
 PAIRS = 1_000_000
 BLOCK_CHARS = 1 << 20
 UNKNOWN = -1
+#: Keys of a node of the trie beside its characters, and "" for its piece.
+BACK, ENDS = "back", "ends"
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -96,7 +97,6 @@ class PieceModel:
         self.bytes_fallback = lib.is_byte(self.byte_ids[0])
         self.unknown = lib.unk_id()
         self.floor = min(self.score) - 10
-        self.longest = max(map(len, self.ids))
         self.trie: dict = {}
         for piece, i in self.ids.items():
             node = self.trie
@@ -109,7 +109,6 @@ class PieceModel:
                 self.spelt[i] = bytes([b])
         self.spelt[self.unknown] = " ⁇ ".encode()
         self.pairs: dict[int, bool] = {}
-        self.whole = [None] * size
         self.runs: dict[int, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -139,17 +138,13 @@ class PieceModel:
 
     def fits(self, before: int, piece: int) -> bool:
         """Whether merging the joint text of two pieces yields these two (before -1: whether the piece stays whole)."""
-        if before < 0:
-            if self.whole[piece] is None:
-                self.whole[piece] = len(self.merge(self.pieces[piece])) == 1
-            return self.whole[piece]
         key = before * len(self.pieces) + piece
         found = self.pairs.get(key)
         if found is None:
-            a, b = self.pieces[before], self.pieces[piece]
+            parts = [self.pieces[before], self.pieces[piece]] if before >= 0 else [self.pieces[piece]]
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            found = self.pairs[key] = self.merge(a + b) == [a, b]
+            found = self.pairs[key] = self.merge("".join(parts)) == parts
         return found
 
     def run(self, n: int) -> bytes:
@@ -162,75 +157,73 @@ class PieceModel:
             self.runs[n] = np.array(ids, "<i4").tobytes()
         return self.runs[n]
 
-    def _open(self, word: str, end: int) -> list[tuple[int, dict]]:
-        """Starts in a word and the vocabulary nodes that lead from them to ``end``."""
-        out = []
-        for j in range(max(0, end - self.longest), end):
-            node = self.trie
-            for ch in word[j:end]:
-                node = node.get(ch)
-                if node is None:
-                    break
-            else:
-                out.append((j, node))
-        return out
+    def _link(self) -> dict:
+        """The trie, made an automaton (Aho and Corasick 1975): a node leads to that of its longest proper suffix, and holds
+        the pieces that end where it does, longest first, with their lengths."""
+        root = self.trie
+        if ENDS not in root:
+            root[ENDS] = ()
+            walk = [(root, 0)]
+            for node, depth in walk:
+                for ch, child in [x for x in node.items() if len(x[0]) == 1]:
+                    back = node.get(BACK)
+                    while back is not None and ch not in back:
+                        back = back.get(BACK)
+                    child[BACK] = back = root if back is None else back[ch]
+                    child[ENDS] = ((child[""], depth + 1), *back[ENDS]) if "" in child else back[ENDS]
+                    walk.append((child, depth + 1))
+        return root
 
     def words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of each distinct word, by one traversal of their trie.
 
-        A state is three numbers.  Open vocabulary paths are held for one prefix only; where two words part, those of their
-        common prefix are walked again, from at most as many starts as the longest piece has characters.
+        The state of a prefix is its last piece, its node of the automaton and, for unigram models, its best score.
         """
         out: dict[str, list[int]] = {}
-        root, bpe, score, fits, pairs = self.trie, self.bpe, self.score, self.fits, self.pairs
-        n_pieces = len(self.pieces)
-        # State of the prefix of length i: last piece, its start, best score.
-        last, start, best = array("i", [UNKNOWN]), array("i", [0]), array("d", [0.0])
+        root, bpe, score, fits, pairs = self._link(), self.bpe, self.score, self.fits, self.pairs
+        pieces, n_pieces = self.pieces, len(self.pieces)
+        last, nodes, best = [UNKNOWN], [root], [0.0]
         before = ""
         for word in sorted(set(words)):
-            n = len(word)
             keep = 0
             for a, b in zip(before, word):  # noqa: B905
                 if a != b:
                     break
                 keep += 1
-            del last[keep + 1 :], start[keep + 1 :], best[keep + 1 :]
-            still = self._open(word, keep)
-            for i in range(keep, n):
-                ch = word[i]
-                paths, still, piece, at, top = still, [], UNKNOWN, i, -math.inf
-                paths.append((i, root))
-                for j, node in paths:
-                    node = node.get(ch)
-                    if node is None:
-                        continue
-                    still.append((j, node))
-                    p = node.get("")
-                    if p is None:
-                        continue
-                    if bpe:
-                        if piece < 0:
-                            b = last[j]
-                            ok = pairs.get(b * n_pieces + p) if b >= 0 else None
-                            if ok is None:
-                                ok = fits(b, p)
-                            if ok:
-                                piece, at = p, j
-                    elif best[j] + score[p] > top:
-                        piece, at, top = p, j, best[j] + score[p]
-                if piece < 0:
-                    top = best[i] + self.floor
+            del last[keep + 1 :], nodes[keep + 1 :], best[keep + 1 :]
+            node, i = nodes[keep], keep
+            for ch in word[keep:]:
+                i += 1
+                found = node.get(ch)
+                while found is None and node is not root:
+                    node = node[BACK]
+                    found = node.get(ch)
+                node = root if found is None else found
+                piece = UNKNOWN
+                if bpe:
+                    for p, size in node[ENDS]:
+                        b = last[i - size]
+                        ok = pairs.get(b * n_pieces + p)
+                        if fits(b, p) if ok is None else ok:
+                            piece = p
+                            break
+                else:
+                    top = -math.inf
+                    for p, size in node[ENDS]:
+                        if best[i - size] + score[p] > top:
+                            piece, top = p, best[i - size] + score[p]
+                    best.append(best[i - 1] + self.floor if piece < 0 else top)
                 last.append(piece)
-                start.append(at)
-                best.append(top)
-            ids, i = [], n
+                nodes.append(node)
+            ids = []
             while i:
                 p = last[i]
                 if p < 0:
-                    ids += [self.byte_ids[x] for x in reversed(word[start[i] : i].encode("utf-8", "surrogatepass"))] if self.bytes_fallback else [self.unknown]
+                    ids += [self.byte_ids[x] for x in reversed(word[i - 1].encode("utf-8", "surrogatepass"))] if self.bytes_fallback else [self.unknown]
+                    i -= 1
                 else:
                     ids.append(p)
-                i = start[i]
+                    i -= len(pieces[p])
             ids.reverse()
             out[word] = ids
             before = word
@@ -248,23 +241,33 @@ class PieceCodec:
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """Makes sure that the cache holds each part (what stands between two spaces, mark included by meaning), and
         returns those that are too long for it."""
-        missing, rare = [], {}
-        for p in parts:
-            if p not in self.new:
-                if p in self.old:
-                    self.new[p] = self.old[p]
-                else:
-                    missing.append(p)
+        new, old, missing, rare = self.new, self.old, [], {}
+        for p in parts.difference(new):
+            if p in old:
+                new[p] = old[p]
+            else:
+                missing.append(p)
         # A line feed is in no piece, so it splits a part; what stands behind it has no mark.
-        lines = {p: p.split("\n") for p in missing}
         breaks = "\n" not in self.model.trie and self.model.bytes_fallback
+        lines = {p: p.split("\n") for p in missing if "\n" in p} if breaks else {}
         feed = np.array([self.model.byte_ids[10]], "<i4").tobytes() if breaks else b""
-        atoms = {MARK + (x[0] if breaks else p) for p, x in lines.items()}
-        if breaks:
-            atoms.update(y for x in lines.values() for y in x[1:])
-        ids = {w: np.array(x, "<i4").tobytes() for w, x in self.model.words(atoms).items()}
-        for p, x in lines.items():
-            (self.new if len(p) <= LONGEST else rare)[p] = feed.join([ids[MARK + x[0]], *(ids[y] for y in x[1:])]) if breaks else ids[MARK + p]
+        atoms = {MARK + p for p in missing if p not in lines} if lines else {MARK + p for p in missing}
+        for first, *rest in lines.values():
+            atoms.add(MARK + first)
+            atoms.update(rest)
+        found = self.model.words(atoms)
+        flat, ids, at = np.fromiter(chain.from_iterable(found.values()), "<i4").tobytes(), {}, 0
+        for w, x in found.items():
+            to = at + 4 * len(x)
+            ids[w] = flat[at:to]
+            at = to
+        for p in missing:
+            known = new if len(p) <= LONGEST else rare
+            if p in lines:
+                first, *rest = lines[p]
+                known[p] = feed.join([ids[MARK + first], *(ids[y] for y in rest)])
+            else:
+                known[p] = ids[MARK + p]
         return rare
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
