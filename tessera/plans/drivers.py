@@ -121,7 +121,7 @@ def run_infer(
     found = S.read_candidates(spark, candidates)
     features.require_known(found, ents)
     if model_dir is None:
-        scored = features.set_features(found, ents).select(*features.IDS, assign.linear_score().alias("score"))
+        scored = features.name_features(found, ents).select(*features.IDS, assign.linear_score().alias("score"))
     else:
         scored = model.score(model.load(model_dir), features.batch_features(found, ents)).select(*features.IDS, "score")
     scored = scored.withColumn("score", F.round("score", 9))
