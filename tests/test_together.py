@@ -33,3 +33,38 @@ def test_addresses_do_not_travel_with_pairs(spark):
     got = rows.first()
     assert (got["a_jaccard"], got["digit_jaccard"], got["digit_any"], got["a_both_present"], got["n_jaccard"]) == (2 / 3, 0.5, 1.0, 1.0, 0.5)
     assert not [c for c in rows.columns if c.endswith(("address", "_at", "_dr"))]
+
+
+def test_pair_features_without_addresses_in_pairs(spark):
+    """Before, each pair carried both addresses through two joins, and masks of an address were made for each of its pairs."""
+    ents = spark.createDataFrame(
+        [("S1-1", "Foo Traders", "1 Foo Traders x", "US"), ("S1-2", "", "b c", "US"), ("S1-3", None, None, "US"), ("S2-1", "foo traders", "Foo traders 1 y", "US"), ("S3-1", "Bar", "", "France")],
+        "entity_id string, business_name string, business_address string, country string",
+    )
+    pairs = spark.createDataFrame([(a, b) for a in ("S1-1", "S1-2", "S1-3") for b in ("S2-1", "S3-1")], "source1_entity_id string, candidate_entity_id string")
+    for make, use in ((features.pair_records, features.pair_features), (features.older_records, features.older_features)):
+        by = {r["entity_id"]: r for r in make(ents).collect()}
+        rows = use(pairs, ents)
+        assert not {"l_address", "r_address"} & set(features._both(pairs, make(ents)).columns)
+        got = {tuple(r[c] for c in features.IDS): r for r in rows.collect()}
+        assert len(got) == 6
+        for (s, c), r in got.items():
+            (n, a), (m, b) = ((by[i]["name"] or "", by[i]["address"] or "") for i in (s, c))
+            assert r["name_substring_in_address"] == float(n != "" and n in b)
+            assert r["addr_levenshtein_ratio"] == M.ratio(a, b) and r["addr_token_sort_ratio"] == M.token_sort(a, b) and r["addr_token_set_ratio"] == M.token_set(a, b)
+            assert r["name_levenshtein_ratio"] == M.ratio(n, m) and r["addr_token_jaccard"] == together.share(1.0)(together.words(a), together.words(b))
+        assert any(r["name_substring_in_address"] for r in got.values())
+
+
+def test_long_texts_by_their_masks():
+    r = random.Random(4)
+    for size in (0, 1, 63, 64, 65, 199, 200, 201, 700):
+        a, b = ("".join(r.choice("ab é日😀") for _ in range(max(0, size + r.randrange(-3, 4)))) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        expected = 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
+        assert M.ratio(a, b) == expected == M.ratio_to(M.Measured(a), M.Measured(b))
