@@ -5,12 +5,14 @@ norm, which makes the largest inner product the smallest distance; on unit vecto
 
 * The index is fitted on at most ``SAMPLE`` vectors (by hash of the id): coarse centroids and
   one codebook per slice of the residuals.  Every vector is then indexed.
-* A query probes the lists of the centroids nearest to it until they hold a share of all vectors. The share is
-  measured: it is what lets ``REACH`` of the true neighbours of some sampled vectors, within the sample, be seen.
+* A query probes every list that can hold one of its k nearest: the centroid's product and the list's radius bound the
+  products of a list, and the k-th best of the sampled vectors is a score that the k nearest reach. So what is probed
+  follows from each query itself, however unlike other vectors it is.
 * Lists are packed into blocks of vectors, a list of any size into as many as it needs.  A task holds one block at a
   time, and the queries that probe it stream past; a vector is sent once, a query to the blocks that it probes.
 * In a block, tables of query times codebook give approximate inner products; the best ``RERANK`` are
-  computed from the original vectors in double precision, and the best of all blocks are the result.
+  computed from the original vectors in double precision, then all whose product, by the length of what their codes leave
+  out, can still be among the k best. The best of all blocks are the result, and are the truly nearest.
 * ``exact=True`` probes every list and ranks every vector by its exact product.
 
 Defined results
@@ -34,14 +36,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Stage, key_bits, small_batches, spread, table, tidy
 
-#: Bounds of the sample, in rows and bytes; its rows for a list, at least; slices of a vector; vectors that a query looks at, at least.
+#: Bounds of the sample, in rows and bytes; its rows for a list, at least; slices of a vector.
 SAMPLE, SAMPLE_BYTES = 32_768, 64 << 20
 ROWS_A_LIST = 16
 SLICES = 16
-LOOK_LEAST = 2_000
-#: Share of true neighbours that probing has to reach, and the sampled queries that measure it.
-REACH, TRIALS = 0.97, 400
 RERANK = 256
+#: Rounding of a product for each component, as a share of the two lengths multiplied; far more than it is.
+ROUNDING = 1e-13
 #: Vectors of a block (more where there are more than tasks can share), and queries that stream past one copy of it.
 BLOCK_LEAST, BLOCK_MOST, GROUP = 4_096, 65_536, 1 << 20
 
@@ -94,10 +95,32 @@ class Index:
         codes = [_nearest(rest[:, a:b], book) for a, b, book in zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)]
         return own, np.stack(codes, axis=1).astype(np.uint8)
 
-    def order(self, q: np.ndarray) -> np.ndarray:
-        """Lists in the order in which a query (with a zero component more) probes them."""
-        y = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
-        return np.argsort((self.centres**2).sum(axis=1) - 2 * (y @ self.centres.T), axis=1, kind="stable")
+    def radii(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Distance of each vector from the centroid of its list, without the added component, as a query has zero there."""
+        return np.sqrt(((x - self.centres[own, :-1]) ** 2).sum(axis=1))
+
+    def left_out(self, x: np.ndarray, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Length of what the codes of each vector leave out, likewise."""
+        rest = self.lift(x) - self.centres[own]
+        for s, (a, b, book) in enumerate(zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)):
+            rest[:, a:b] -= book[codes[:, s]]
+        return np.sqrt((rest[:, :-1] ** 2).sum(axis=1))
+
+    def slack(self, q: np.ndarray) -> np.ndarray:
+        """What rounding may add to a product of each query: no vector or centroid is longer than the longest vector."""
+        return ROUNDING * (self.centres.shape[1] + 16) * np.sqrt((q**2).sum(axis=-1) * self.top)
+
+    def most(self, q: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """The largest product that each query can have with a vector of each list."""
+        return q @ self.centres[:, :-1].T + np.sqrt((q**2).sum(axis=1))[:, None] * radius + self.slack(q)[:, None]
+
+    def reached(self, q: np.ndarray, q_ids: np.ndarray, sample: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+        """A score that the k nearest of each query reach, as k of the sample do; minus infinity if the sample has fewer."""
+        if len(sample) <= k:
+            return np.full(len(q), -np.inf)
+        score = q @ sample.T
+        score[q_ids[:, None] == ids] = -np.inf
+        return np.partition(score, len(sample) - k, axis=1)[:, len(sample) - k] - self.slack(q)
 
     def approximate(self, q: np.ndarray, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Inner products of one query with coded vectors of the lists ``own``, from its tables."""
@@ -107,23 +130,6 @@ class Index:
             out += (book @ y[a:b])[codes[:, s]]
         return out
 
-    def share(self, sample: np.ndarray, k: int) -> float:
-        """The share of all vectors that a query has to look at to reach REACH of its neighbours."""
-        own, _ = self.encode(sample)
-        sizes = np.bincount(own, minlength=len(self.centres))
-        asked = np.random.default_rng(7).permutation(len(sample))[:TRIALS]
-        needed = []
-        for i in range(0, len(asked), 50):
-            some = asked[i : i + 50]
-            near = sample[some] @ sample.T
-            near[np.arange(len(some)), some] = -np.inf
-            best = np.argpartition(-near, min(k, len(sample)) - 1, axis=1)[:, :k]
-            order = self.order(sample[some])
-            seen = np.cumsum(sizes[order], axis=1) - sizes[order]
-            place = np.argsort(order, axis=1)
-            needed.append(np.take_along_axis(seen, np.take_along_axis(place, own[best], axis=1), axis=1).ravel())
-        return float(np.quantile(np.concatenate(needed), REACH) + 1) / len(sample)
-
 
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -139,29 +145,55 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(~bad).where(F.exists("vec", lambda v: v != 0))
 
 
-def _best(index: Index, q: np.ndarray, ids: np.ndarray, x: np.ndarray, own: np.ndarray, codes: np.ndarray, rows: np.ndarray, k: int, rerank: int | None):
-    """Ids and exact scores of the k best of ``rows`` of a block, of those that the tables rank among the first ``rerank``."""
-    if rerank is not None and len(rows) > rerank:
-        score = index.approximate(q, own[rows], codes[rows])
-        limit = np.partition(score, len(score) - rerank)[len(score) - rerank]
-        over, level = np.flatnonzero(score > limit), np.flatnonzero(score == limit)
-        rows = rows[np.concatenate([over, level[: rerank - len(over)]])]
-    exact = (x[rows] * q).sum(axis=1)
-    best = np.lexsort((ids[rows], -exact))[:k]
-    return ids[rows][best], exact[best]
+def _exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return np.concatenate([(x[some] * q).sum(axis=1) for some in np.split(rows, range(8192, len(rows), 8192))])
+
+
+def _best(index: Index, q: np.ndarray, block: Block, rows: np.ndarray, k: int, least: float, rerank: int | None):
+    """Ids and exact scores of the k best of ``rows`` of a block; those under ``least`` may be missing."""
+    if rerank is None or len(rows) <= rerank:
+        exact = _exact(q, block.x, rows)
+    else:
+        score = index.approximate(q, block.own[rows], block.codes[rows])
+        tops = np.argpartition(score, len(score) - rerank)[len(score) - rerank :]
+        exact = _exact(q, block.x, rows[tops])
+        least = max(least, np.partition(exact, rerank - k)[rerank - k]) if k <= rerank else least
+        # Not "at least": what is not a number, from products beyond the range of doubles, stays in.
+        open_ = ~(score + math.sqrt(q @ q) * block.left_out[rows] + index.slack(q) < least)
+        open_[tops] = False
+        rest = np.flatnonzero(open_)
+        rows, exact = rows[np.concatenate([tops, rest])], np.concatenate([exact, _exact(q, block.x, rows[rest])])
+    if len(rows) > k:
+        some = np.flatnonzero(~(exact < np.partition(exact, len(exact) - k)[len(exact) - k]))
+        rows, exact = rows[some], exact[some]
+    best = np.lexsort((block.ids[rows], -exact))[:k]
+    return block.ids[rows][best], exact[best]
+
+
+class Block:
+    """The vectors that a task holds, by list."""
+
+    def __init__(self, index: Index, batches: list[pa.RecordBatch]):
+        all_ = pa.Table.from_batches(batches)
+        own = all_.column("list").to_numpy()
+        order = np.argsort(own, kind="stable")
+        codes = np.frombuffer(b"".join(all_.column("codes").to_pylist()), np.uint8).reshape(len(own), -1)
+        self.ids, self.x, self.own, self.codes = all_.column("id").to_numpy()[order], _matrix(all_.column("vec"))[order], own[order], codes[order]
+        self.left_out = np.concatenate([index.left_out(*(a[i : i + 4096] for a in (self.x, self.own, self.codes))) for i in range(0, len(own), 4096)])
+        self.lists, starts = np.unique(self.own, return_index=True)
+        self.spans = np.stack([starts, np.append(starts[1:], len(own))], axis=1)
 
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("query_vector", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
-def _compared(index: Index, n_lists: int, k: int, rerank: int | None):
+def _compared(index: Index, radius: np.ndarray, k: int, rerank: int | None):
     """Rows sorted by (task, side): the vectors of a block (side 0), then its queries -> the best of the block for each query."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         now, ready = None, None
-        probed = np.zeros(n_lists, bool)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -177,19 +209,15 @@ def _compared(index: Index, n_lists: int, k: int, rerank: int | None):
                 if not held and ready is None:
                     continue
                 if ready is None:
-                    all_ = pa.Table.from_batches(held)
-                    ids, held = all_.column("id").to_numpy(), []
-                    order = np.argsort(ids, kind="stable")
-                    codes = np.frombuffer(b"".join(all_.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
-                    ready = ids[order], _matrix(all_.column("vec"))[order], all_.column("list").to_numpy()[order], codes[order]
-                ids, x, own, codes = ready
+                    ready, held = Block(index, held), []
                 part = batch.slice(a, b - a)
                 out: list = [[], [], [], []]
-                asked = zip(part.column("id").to_pylist(), part.column("qv").to_pylist(), _matrix(part.column("vec")), part.column("lists").to_pylist(), strict=True)
-                for q_id, qv, q, some in asked:
-                    probed[:] = False
-                    probed[some] = True
-                    found, score = _best(index, q, ids, x, own, codes, np.flatnonzero(probed[own] & (ids != q_id)), k, rerank)
+                vectors, leasts = _matrix(part.column("vec")), part.column("least").to_numpy()
+                open_ = ~(index.most(vectors, radius)[:, ready.lists] < leasts[:, None])
+                asked = zip(part.column("id").to_pylist(), part.column("qv").to_pylist(), vectors, leasts.tolist(), open_, strict=True)
+                for q_id, qv, q, least, some in asked:
+                    rows = np.concatenate([np.arange(i, j) for i, j in ready.spans[some]] or [np.zeros(0, np.int64)])
+                    found, score = _best(index, q, ready, rows[ready.ids[rows] != q_id], k, least, rerank)
                     out[0] += [q_id] * len(found)
                     out[1] += [qv] * len(found)
                     out[2] += found.tolist()
@@ -215,7 +243,8 @@ def search(
     width, n = shape["d"], shape["n"]
     rows = rows.where(F.size("vec") == width)
     size = max(256, min(SAMPLE, SAMPLE_BYTES // (8 * width)))
-    sample = _matrix(rows.orderBy(key_bits(F.col("id")), "id").limit(size).select("vec").toArrow().column(0))
+    taken = rows.orderBy(key_bits(F.col("id")), "id").limit(size).toArrow()
+    sample_ids, sample = taken.column("id").to_numpy(), _matrix(taken.column("vec"))
     lists = max(1, min(int(math.sqrt(n)), len(sample) // ROWS_A_LIST + 1))
     index = Index(sample, lists, shape["top"])
 
@@ -223,15 +252,15 @@ def search(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                own, codes = index.encode(_matrix(batch.column(1)))
-                cols = [pa.array(own.astype(np.int32)), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column(1)]
-                yield pa.RecordBatch.from_arrays(cols, names=["list", "id", "codes", "vec"])
-
-    coded = stage.keep(small_batches(rows).mapInArrow(encode, "list int, id long, codes binary, vec array<double>"), "coded")
-    sizes = np.zeros(len(index.centres), np.int64)
-    for r in coded.groupBy("list").count().collect():  # one row per list
-        sizes[r["list"]] = r["count"]
-    enough = n if exact else max(LOOK_LEAST, math.ceil(index.share(sample, k) * n), k + 1)
+                x = _matrix(batch.column(1))
+                own, codes = index.encode(x)
+                cols = [pa.array(own.astype(np.int32)), pa.array(index.radii(x, own)), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column(1)]
+                yield pa.RecordBatch.from_arrays(cols, names=["list", "radius", "id", "codes", "vec"])
+
+    coded = stage.keep(small_batches(rows).mapInArrow(encode, "list int, radius double, id long, codes binary, vec array<double>"), "coded")
+    sizes, radius = np.zeros(len(index.centres), np.int64), np.full(len(index.centres), -np.inf)
+    for r in coded.groupBy("list").agg(F.count("*").alias("n"), F.max("radius").alias("radius")).collect():  # one row per list
+        sizes[r["list"]], radius[r["list"]] = r["n"], r["radius"]
     # Blocks of each list: lists share a block until it is full, a larger list has blocks of its own.
     block_size = min(BLOCK_MOST, max(BLOCK_LEAST, n // (2 * spark.sparkContext.defaultParallelism)))
     first, several = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // block_size))
@@ -247,42 +276,36 @@ def search(
     @tidy
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                order = index.order(_matrix(part.column(1)))
-                before = np.cumsum(sizes[order], axis=1) - sizes[order]
-                open_ = (before < enough) & (sizes[order] > 0)
-                rows_, blocks_, lists_ = [], [], []
-                for j in range(len(order)):
-                    by_block: dict[int, list[int]] = {}
-                    for x in order[j][open_[j]].tolist():
-                        for b in range(first[x], first[x] + several[x]):
-                            by_block.setdefault(int(b), []).append(x)
-                    for b, found in by_block.items():
-                        rows_.append(j)
-                        blocks_.append(b)
-                        lists_.append(found)
-                picked = part.take(pa.array(rows_, pa.int64()))
-                cols = [pa.array(blocks_, pa.int32()), picked.column(0), picked.column(1), pa.array(lists_, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(cols, names=["block", "id", "vec", "lists"])
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                q = _matrix(part.column(1))
+                least = np.full(len(q), -np.inf) if exact else index.reached(q, part.column(0).to_numpy(), sample, sample_ids, k)
+                hit = np.zeros((len(q), blocks), bool)
+                open_ = ~(index.most(q, radius) < least[:, None]) & (sizes > 0)
+                for x in np.flatnonzero(open_.any(axis=0)):
+                    hit[:, first[x] : first[x] + several[x]] |= open_[:, x, None]
+                rows_, blocks_ = np.nonzero(hit)
+                picked = part.take(pa.array(rows_))
+                cols = [pa.array(blocks_.astype(np.int32)), picked.column(0), picked.column(1), pa.array(least[rows_])]
+                yield pa.RecordBatch.from_arrays(cols, names=["block", "id", "vec", "least"])
 
     asked = stage.keep(rows.where(query_ids(F.col("id"))).dropDuplicates(["id", "vec"]), "asked")
     parts = max(1, -(-asked.count() // GROUP))
-    probes = small_batches(spread(asked)).mapInArrow(probe, "block int, id long, vec array<double>, lists array<int>")
+    probes = small_batches(spread(asked)).mapInArrow(probe, "block int, id long, vec array<double>, least double")
     task = lambda b, p: (b * parts + p).cast("int").alias("task")
     right = probes.select(
         task(F.col("block"), F.pmod(F.xxhash64("id"), F.lit(parts))), F.lit(1).alias("side"), "id", "vec", F.lit(None).cast("int").alias("list"),
-        F.lit(None).cast("binary").alias("codes"), F.xxhash64("vec").alias("qv"), "lists",
+        F.lit(None).cast("binary").alias("codes"), F.xxhash64("vec").alias("qv"), "least",
     )
     of = lambda a: F.element_at(F.lit([int(v) for v in a]), F.col("list") + 1)
     own = of(first) + F.pmod(F.xxhash64("id", "vec"), of(several))
     copies = coded.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))) if parts > 1 else coded.withColumn("part", F.lit(0))
     left = copies.select(
         task(own, F.col("part")), F.lit(0).alias("side"), "id", "vec", "list", "codes", F.lit(None).cast("long").alias("qv"),
-        F.lit(None).cast("array<int>").alias("lists"),
+        F.lit(None).cast("double").alias("least"),
     )
     dealt = left.unionByName(right).repartitionById(blocks * parts, F.col("task")).sortWithinPartitions("task", "side")
-    compare = _compared(index, len(sizes), k, None if exact else RERANK)
+    compare = _compared(index, radius, k, None if exact else RERANK)
     found = small_batches(dealt).mapInArrow(compare, "query_id long, query_vector long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query_vector").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)

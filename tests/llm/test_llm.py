@@ -113,6 +113,21 @@ def test_neighbours(spark):
     assert [r["rank"] for r in few] == [1, 2, 3, 4]
 
 
+def test_neighbours_of_vectors_unlike_the_rest(spark):
+    """Vectors that ask lie where hardly any other does, so what others need to find theirs tells nothing of them."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([0.05 * rng.normal(size=(6000, 16)), 3 * np.sign(rng.normal(size=(6000, 16)))], axis=1)
+    x[::20] = np.concatenate([rng.normal(size=(300, 16)), np.zeros((300, 16))], axis=1)
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = defaultdict(list)
+    for r in ann.search(df, lambda i: i % 20 == 0).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    for q in range(0, 6000, 20):
+        order = np.lexsort((np.arange(6000), -(x * x[q]).sum(axis=1)))
+        assert found[q] == [i for i in order[:21].tolist() if i != q][:20]
+
+
 def test_exact_neighbours_with_repeated_ids(spark):
     """Ids held by several rows, with one vector and with different ones; a clashing column; blocks of few vectors."""
     rng = np.random.default_rng(3)
