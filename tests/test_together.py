@@ -68,3 +68,18 @@ def test_long_texts_by_their_masks():
             row = new
         expected = 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
         assert M.ratio(a, b) == expected == M.ratio_to(M.Measured(a), M.Measured(b))
+
+
+def test_copies_of_an_s1_text_are_measured_once():
+    import pyarrow as pa
+
+    asked = []
+    run = together._run([("v", 0, str, lambda a, b: asked.append((a, b)) or float(len(a) + 10 * len(b)))])
+    rows = [(together.HELD, f"S1-{i}", None, -1, t) for i, t in enumerate(["x", "x", "xy"])]
+    rows += [(together.ROW, "S2-1", None, -1, "z"), (together.ROW, "S2-1", None, -1, "zz")] + [(together.PAIR, "S2-1", f"S1-{i}", i, "") for i in range(3)]
+    rows += [(together.ROW, "S2-2", None, -1, "z"), (together.PAIR, "S2-2", "S1-1", 3, "")]
+    kinds = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string())
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names=list("abcde")) for some in (rows[:5], rows[5:6], rows[6:])]
+    got = [tuple(r.values()) for b in run(batches) for r in b.to_pylist()]
+    assert got == [(0, 11.0), (0, 21.0), (1, 11.0), (1, 21.0), (2, 12.0), (2, 22.0), (3, 11.0)]
+    assert asked == [("x", "z"), ("x", "zz"), ("xy", "z"), ("xy", "zz"), ("x", "z")]
