@@ -83,3 +83,14 @@ def test_copies_of_an_s1_text_are_measured_once():
     got = [tuple(r.values()) for b in run(batches) for r in b.to_pylist()]
     assert got == [(0, 11.0), (0, 21.0), (1, 11.0), (1, 21.0), (2, 12.0), (2, 22.0), (3, 11.0)]
     assert asked == [("x", "z"), ("x", "zz"), ("xy", "z"), ("xy", "zz"), ("x", "z")]
+
+
+def test_a_text_goes_to_a_cell_once(spark, monkeypatch):
+    """Before, an address went there alone and again behind its name, and counting its characters normalised it."""
+    ents = spark.createDataFrame([("S1-1", "Foo", "1 Street", "US"), ("S2-1", "Foo", "1 Street", "US")], "entity_id string, business_name string, business_address string, country string")
+    pairs = spark.createDataFrame([("S1-1", "S2-1")], "source1_entity_id string, candidate_entity_id string")
+    sent, measured = [], together.measured
+    monkeypatch.setattr(together, "measured", lambda pairs, records, texts, *more: sent.append((records.columns, list(texts))) or measured(pairs, records, texts, *more))
+    for use in (features.pair_features, features.older_features):
+        assert use(pairs, ents).first()["addr_levenshtein_ratio"] == 1.0
+    assert [t for _, t in sent] == [["both"]] * 2 and all({"business_name", "business_address"} <= set(c) for c, _ in sent)
