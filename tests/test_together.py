@@ -94,3 +94,12 @@ def test_a_text_goes_to_a_cell_once(spark, monkeypatch):
     for use in (features.pair_features, features.older_features):
         assert use(pairs, ents).first()["addr_levenshtein_ratio"] == 1.0
     assert [t for _, t in sent] == [["both"]] * 2 and all({"business_name", "business_address"} <= set(c) for c, _ in sent)
+
+
+def test_words_of_a_text_are_cut_once_for_its_pairs():
+    r = random.Random(6)
+    for _ in range(200):
+        a, b = (" ".join(r.choice(["ab", "b", "c d", "abc", "é"]) for _ in range(r.randrange(6))) for _ in range(2))
+        for name, _, make, of in features._EDITS:
+            assert of(make(a), make(b)) == {"a_ratio": M.ratio, "a_token_sort": M.token_sort, "a_token_set": M.token_set}[name](a, b)
+    assert all(not isinstance(make("a b"), str) for _, _, make, _ in features._EDITS)
