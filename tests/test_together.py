@@ -103,3 +103,12 @@ def test_words_of_a_text_are_cut_once_for_its_pairs():
         for name, _, make, of in features._EDITS:
             assert of(make(a), make(b)) == {"a_ratio": M.ratio, "a_token_sort": M.token_sort, "a_token_set": M.token_set}[name](a, b)
     assert all(not isinstance(make("a b"), str) for _, _, make, _ in features._EDITS)
+
+
+def test_words_of_a_text_are_counted_once_for_its_pairs():
+    r = random.Random(7)
+    ((_, _, make, of),) = features._OLDER_ADDRESS
+    for _ in range(200):
+        a, b = (" ".join(r.choice(["ab", "B", "c d", "abc", "é"]) for _ in range(r.randrange(6))) for _ in range(2))
+        assert of(make(f"2 xy{a}"), make(f"0 {b}")) == M.cosine(a, b)
+    assert not isinstance(make("0 a b"), str)
